@@ -26,22 +26,33 @@ def null_percentages_long(df: DataFrame) -> DataFrame:
     return wide.unpivot([], df.columns, "column_name", "null_pct")
 
 
+def high_nulls_of(report: DataFrame, above: float = HIGH_NULL_PERCENT) -> DataFrame:
+    """The columns above the limit, from finished reports: table, column_name, null_pct."""
+    pairs = report.select("table", F.explode("null_percentages").alias("column_name", "null_pct"))
+    return pairs.filter(F.col("null_pct") > above)
+
+
 def high_null_columns(df: DataFrame, above: float = HIGH_NULL_PERCENT) -> DataFrame:
     return null_percentages_long(df).filter(F.col("null_pct") > above)
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
+def duplicate_rows(df: DataFrame, stored_hash: str | None = None) -> DataFrame:
     """One row: the number of rows that repeat an earlier one in all columns, NULLs equal.
 
     Grouping by the hash shuffles 32 bytes and a count per distinct row and map task.
+    ``stored_hash`` names a column that already holds the hash.
     """
-    digest = F.unhex(record_hash(df.columns)).alias("digest")
+    digest = F.unhex(F.col(stored_hash) if stored_hash else record_hash(df.columns)).alias("digest")
     copies = df.select(digest).groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
-def profile(df: DataFrame, expected: Sequence[str], table: str) -> DataFrame:
+def profile(
+    df: DataFrame, expected: Sequence[str], table: str, stored_hash: str | None = None
+) -> DataFrame:
     """One row: counts, missing and extra columns, NULL shares, duplicates and status."""
+    copies = duplicate_rows(df, stored_hash).scalar()
+    df = df.drop(stored_hash) if stored_hash else df
     missing = [c for c in expected if c not in df.columns]
     extra = [c for c in df.columns if c not in expected]
     empty = F.array().cast("array<string>")
@@ -54,7 +65,7 @@ def profile(df: DataFrame, expected: Sequence[str], table: str) -> DataFrame:
         (F.array(*map(F.lit, missing)) if missing else empty).alias("missing_columns"),
         (F.array(*map(F.lit, extra)) if extra else empty).alias("extra_columns"),
         F.create_map(*pairs).alias("null_percentages"),
-        duplicate_rows(df).scalar().alias("duplicate_rows"),
+        copies.alias("duplicate_rows"),
         F.lit(status).alias("status"),
     )
 

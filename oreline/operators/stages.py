@@ -35,9 +35,21 @@ def stage_counts(
             kept = kept & F.coalesce(condition, F.lit(False))
         counts.append(F.count_if(kept).alias(f"n{position}"))
     totals = rows.agg(F.coalesce(F.sum("_copies"), F.lit(0)).cast("bigint").alias("initial"), *counts)
+    return _as_rows(totals, table, [name for name, _ in stages])
 
+
+def stage_sizes(before: DataFrame, table: str, stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """The same rows where the tables before and after each stage are stored."""
+    totals = before.agg(F.count(F.lit(1)).alias("initial"))
+    for position, (_, stored) in enumerate(stages):
+        size = stored.agg(F.count(F.lit(1)).alias("n")).scalar()
+        totals = totals.withColumn(f"n{position}", size)
+    return _as_rows(totals, table, [name for name, _ in stages])
+
+
+def _as_rows(totals: DataFrame, table: str, stages: Sequence[str]) -> DataFrame:
     entries = []
-    for position, (name, _) in enumerate(stages):
+    for position, name in enumerate(stages):
         before = F.col(f"n{position - 1}") if position else F.col("initial")
         after = F.col(f"n{position}")
         entries.append(

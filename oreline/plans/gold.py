@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.functions import dates
 from oreline.functions.numbers import half_even, percent
+from oreline.functions.rules import COMPONENT_SHARE, PAYER_SHARE, payer_share
 from oreline.functions.text import quarter_label
 from oreline.operators.keys import dense_keys
 
@@ -46,6 +49,13 @@ OCCUPANCY_FACT = [
     "snapshot_quarter",
 ]
 
+# The column each fact is stored by.
+PARTITIONS = {
+    "fact_admissions": "admission_year",
+    "fact_billing": "bill_year",
+    "fact_bed_occupancy": "snapshot_year",
+}
+
 
 def date_spine(span: DataFrame) -> DataFrame:
     """All days of a one-row frame with the dates ``first`` and ``last``."""
@@ -161,12 +171,12 @@ def fact_bed_occupancy(silver_occupancy: DataFrame, departments: DataFrame) -> D
     return keyed.withColumn("snapshot_date_key", dates.date_key(F.col("snapshot_date"))).select(*OCCUPANCY_FACT)
 
 
-def _total(column: str) -> F.Column:
+def _total(column: str) -> Column:
     """Sum that is 0 when every value is NULL."""
     return F.coalesce(F.sum(column), F.lit(0))
 
 
-def _mean(column: str) -> F.Column:
+def _mean(column: str) -> Column:
     return F.sum(column).cast("double") / F.nullif(F.count(column), F.lit(0))
 
 
@@ -264,14 +274,17 @@ def orphan_keys(admissions: DataFrame, billing: DataFrame, occupancy: DataFrame,
     )
 
 
-def derive_bills(admissions: DataFrame, patients: DataFrame, charge: str, shares=None) -> DataFrame:
+def derive_bills(
+    admissions: DataFrame,
+    patients: DataFrame,
+    charge: str,
+    shares: Mapping[str, Decimal] = PAYER_SHARE,
+) -> DataFrame:
     """Bills of closed admissions: payer share by the patient's insurance, split into components."""
-    from oreline.functions.rules import COMPONENT_SHARE, PAYER_SHARE, payer_share
-
     insured_by = patients.select("patient_id", "insurance_type")
     amount = F.col(charge).cast("decimal(18,2)")
 
-    def cents(col: F.Column) -> F.Column:
+    def cents(col: Column) -> Column:
         return F.round(col, 2).cast("decimal(18,2)")
 
     return (
@@ -287,7 +300,7 @@ def derive_bills(admissions: DataFrame, patients: DataFrame, charge: str, shares
         )
         .withColumn(
             "insurance_amount",
-            cents(F.col("total_amount") * payer_share(F.col("insurance_type"), shares or PAYER_SHARE)),
+            cents(F.col("total_amount") * payer_share(F.col("insurance_type"), shares)),
         )
         .withColumn(
             "patient_payable", (F.col("total_amount") - F.col("insurance_amount")).cast("decimal(18,2)")

@@ -19,11 +19,6 @@ from oreline.sources.sinks import write_parquet
 
 _written: set[str] = set()
 
-_PARTITIONS = {
-    "fact_admissions": "admission_year",
-    "fact_billing": "bill_year",
-    "fact_bed_occupancy": "snapshot_year",
-}
 _COLUMNS = {
     "fact_admissions": gold.ADMISSION_FACT,
     "fact_billing": gold.BILLING_FACT,
@@ -69,7 +64,7 @@ class Lake:
         """The stored table, written on first use."""
         path = f"{self.root}/{name}"
         if path not in _written:
-            write_parquet(self.build(name), path, partition_by=_PARTITIONS.get(name))
+            write_parquet(self.build(name), path, partition_by=gold.PARTITIONS.get(name))
             _written.add(path)
         stored = self.spark.read.parquet(path)
         # A partition column comes back last.

@@ -228,10 +228,12 @@ class Star:
     def _frame_key(self, agg: Agg, by: Sequence[str], where: Mapping[str, Any]) -> _FrameKey:
         reached = _reached_from(agg.table)
         replaced = {agg.only[0]} if agg.only else set()
+        if agg.kind == "all_rows":
+            where = {c: w for c, w in where.items() if c != DEPARTMENT_NAME}
         group = tuple(c for c in by if _table(c) in reached and c not in replaced)
         kept = {c: w for c, w in where.items() if _table(c) in reached and c not in replaced}
         own_filter = agg.only is not None and _table(agg.only[0]) == agg.table
-        alone = agg.kind in ("distinct", "daily_mean", "rank") or (agg.only is not None and not own_filter)
+        alone = agg.kind in ("distinct", "daily_mean", "all_rows") or (agg.only is not None and not own_filter)
         if alone and agg.only is not None:
             kept[agg.only[0]] = agg.only[1]
         frozen = tuple((c, tuple(w) if isinstance(w, (list, set)) else w) for c, w in kept.items())
@@ -240,21 +242,31 @@ class Star:
     def _combine(
         self, aggs: Mapping[Agg, str], by: Sequence[str], where: Mapping[str, Any], needs_domain: bool
     ) -> DataFrame:
+        ranks = {a: n for a, n in aggs.items() if a.kind == "rank"}
+        counted = {a: n for a, n in aggs.items() if a.kind != "rank"}
+        if DEPARTMENT_NAME in by:
+            for agg in ranks:
+                counted.setdefault(self._ranked_count(agg, where), f"_n{len(counted)}")
         members: dict[_FrameKey, dict[Agg, str]] = {}
-        for agg, name in aggs.items():
+        for agg, name in counted.items():
             members.setdefault(self._frame_key(agg, by, where), {})[agg] = name
 
         whole, partial = [], []
         for key, group in members.items():
-            frame = self._frame(key, group, where)
+            frame = self._frame(key, group)
             (whole if len(key.group) == len(by) else partial).append((key, frame, list(group.values())))
 
         flat = [_flat(c) for c in by]
         stack = [frame for _, frame, _ in whole]
+        # A value joined back exists for every member, also for those without rows.
+        if partial and len({_table(c) for c in by}) == 1 and _table(by[0]).startswith("dim_"):
+            needs_domain = True
         if by and (needs_domain or not whole):
             domain = self._domain(by, where)
             if domain is not None:
                 stack.append(domain)
+        if not stack:
+            stack = [self.tables[DATE].sparkSession.range(1).select()]
         if len(stack) == 1:
             combined = stack[0]
         else:
@@ -263,8 +275,33 @@ class Star:
             combined = together.groupBy(*flat).agg(*[F.max(c).alias(c) for c in values]) if values else together
         for key, frame, names in partial:
             combined = self._join_back(combined, frame, [_flat(c) for c in key.group], names)
+        for agg, name in ranks.items():
+            combined = self._rank(combined, counted.get(self._ranked_count(agg, where)), name, by, where)
         return combined
 
+    @staticmethod
+    def _ranked_count(rank: Agg, where: Mapping[str, Any]) -> Agg:
+        """The row count to rank by; it ignores a filter on the department."""
+        return replace(rank, kind="all_rows" if DEPARTMENT_NAME in where else "rows")
+
+    @staticmethod
+    def _rank(
+        combined: DataFrame, count: str | None, name: str, by: Sequence[str], where: Mapping[str, Any]
+    ) -> DataFrame:
+        """Dense rank, blanks as 0, over all departments with the other grouping columns fixed.
+
+        Without the department in the grouping the current value is the sum over all departments
+        and nothing is above it. The window sees one row per department and group.
+        """
+        if DEPARTMENT_NAME not in by:
+            return combined.withColumn(name, F.lit(1))
+        others = [_flat(c) for c in by if c != DEPARTMENT_NAME]
+        window = Window.partitionBy(*others).orderBy(F.coalesce(F.col(count), F.lit(0)).desc())
+        ranked = combined.withColumn(name, F.dense_rank().over(window))
+        if DEPARTMENT_NAME in where:
+            ranked = ranked.filter(condition(F.col(_flat(DEPARTMENT_NAME)), where[DEPARTMENT_NAME]))
+        return ranked
+
     @staticmethod
     def _join_back(left: DataFrame, frame: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
         if not keys:
@@ -292,10 +329,8 @@ class Star:
         reached = _reached_from(table)
         return self._reduce(table, {}, by, {c: w for c, w in where.items() if _table(c) in reached})
 
-    def _frame(self, key: _FrameKey, aggs: Mapping[Agg, str], query_where: Mapping[str, Any]) -> DataFrame:
+    def _frame(self, key: _FrameKey, aggs: Mapping[Agg, str]) -> DataFrame:
         where = dict(key.where)
-        if key.alone is not None and key.alone.kind == "rank":
-            return self._rank(key, aggs[key.alone], where)
         if key.alone is not None and key.alone.kind == "daily_mean":
             return self._mean_of_days(key, aggs[key.alone], where)
         bridge = self._bridge(key, where) if key.period else None
@@ -333,26 +368,6 @@ class Star:
         total = F.sum("_mean").cast("double") / F.count("_mean")
         return spread.groupBy(*[_flat(c) for c in key.group]).agg(total.alias(name))
 
-    def _rank(self, key: _FrameKey, name: str, where: Mapping[str, Any]) -> DataFrame:
-        """Dense rank, blanks as 0, over all departments with the other grouping columns fixed.
-
-        Without the department in the grouping the current value is the sum over all departments
-        and nothing is above it. The window sees one row per department and group.
-        """
-        group = list(key.group)
-        if DEPARTMENT_NAME not in group:
-            rows = self._reduce(key.table, {replace(key.alone, kind="rows"): name}, group, where)
-            return rows.withColumn(name, F.lit(1))
-        free = {c: w for c, w in where.items() if c != DEPARTMENT_NAME}
-        count = Measure(lambda value: value(replace(key.alone, kind="rows")))
-        ranked = self.query({name: count}, group, free, keep_empty=True)
-        others = [_column(c) for c in group if c != DEPARTMENT_NAME]
-        window = Window.partitionBy(*others).orderBy(F.coalesce(F.col(name), F.lit(0)).desc())
-        ranked = ranked.withColumn(name, F.dense_rank().over(window))
-        if DEPARTMENT_NAME in where:
-            ranked = ranked.filter(condition(F.col(_column(DEPARTMENT_NAME)), where[DEPARTMENT_NAME]))
-        return ranked.select(*[F.col(_column(c)).alias(_flat(c)) for c in group], name)
-
     # ---- reduction of one table ------------------------------------------------------------
 
     def _reduce(
@@ -442,12 +457,12 @@ class Star:
 
     @staticmethod
     def _base(agg: Agg) -> Column:
-        value = F.lit(1) if agg.kind == "rows" else F.col(agg.column)
+        value = F.lit(1) if agg.column is None else F.col(agg.column)
         if agg.exact is not None and agg.kind == "sum":
             value = value.cast(agg.exact)
         if agg.only is not None and _table(agg.only[0]) == agg.table:
             value = F.when(condition(F.col(_column(agg.only[0])), agg.only[1]), value)
-        if agg.kind in ("rows", "values"):
+        if agg.kind in ("rows", "all_rows", "values"):
             return F.nullif(F.count(value), F.lit(0))
         if agg.kind == "sum":
             return F.sum(value)

@@ -26,14 +26,20 @@ def scan_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return raw.select(*[_cell(c).alias(c) for c in raw.columns], F.col("_metadata.file_name").alias("_source_file"))
 
 
+def conform(df: DataFrame, table: SourceTable) -> DataFrame:
+    """Add declared columns a load did not bring, as NULL."""
+    absent = [c for c in table.columns if c not in df.columns]
+    return df.withColumns({c: F.lit(None).cast(table.type_of(c)) for c in absent})
+
+
 def apply_types(df: DataFrame, table: SourceTable) -> DataFrame:
     """Cast to the declared types; a cell that does not fit becomes NULL, unknown columns stay text."""
-    known = set(table.columns)
-    # Through double, so that an integer written as "3.0" is read as 3.
+
     def cast(c: str) -> Column:
         kind = table.type_of(c).simpleString()
-        if c not in known or kind == "string":
+        if c not in table.columns or kind == "string":
             return F.col(c)
+        # Integers through double, so that one written as "3.0" is read as 3.
         number = F.col(c).try_cast("double") if kind == "int" else F.col(c)
         return number.try_cast(kind).alias(c)
 
