@@ -35,7 +35,12 @@ def dedup(
     return df.withColumn("_rn", F.row_number().over(window)).filter("_rn = 1").drop("_rn")
 
 
-def survivor(df: DataFrame, key: str, order_by: Sequence[str], tie_break: Iterable[str] | None = None) -> tuple[Column, list[str]]:
-    """The same choice as ``dedup(keep="last")`` as an aggregate: the largest struct in the order."""
+def survivor(
+    df: DataFrame, key: str, order_by: Sequence[str], tie_break: Iterable[str] | None = None, carry: Sequence[str] = ()
+) -> Column:
+    """The same choice as ``dedup(keep="last")`` as an aggregate: the largest struct in the order.
+
+    ``carry`` names columns to read from the survivor besides those of the order.
+    """
     ordered = order_columns([c for c in df.columns if c != key], order_by, tie_break)
-    return F.max(F.struct(*ordered)), ordered
+    return F.max(F.struct(*ordered, *[c for c in carry if c not in ordered]))

@@ -17,14 +17,15 @@ def stage_counts(
     order_by: Sequence[str],
     stages: Sequence[tuple[str, Column | None]],
     tie_break: Sequence[str] | None = None,
+    reads: Sequence[str] = (),
 ) -> DataFrame:
     """One row per stage: before, after, rows dropped since the start and by the stage itself.
 
     The first stage is the dedup; each later one keeps the survivors on which its condition is
-    true. All counts come from one grouping by key, whose partial aggregates keep one candidate
+    true. ``reads`` names the columns the conditions need. All counts come from one grouping by key, whose partial aggregates keep one candidate
     per key and map task.
     """
-    chosen, _ = survivor(df, key, order_by, tie_break)
+    chosen = survivor(df, key, order_by, tie_break, reads)
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"), chosen.alias("_row"))
     rows = per_key.select(key, "_copies", "_row.*")
 

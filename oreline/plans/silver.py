@@ -176,6 +176,7 @@ def patient_stages(df: DataFrame, tie_break: Sequence[str] | None = None) -> Dat
     return stage_counts(
         df, "patients", "patient_id", [TABLES["patients"].watermark],
         [("dedup_patient_id", None), ("valid_dob", _valid_gender(F.col("gender")) & born)], tie_break,
+        ["gender", "date_of_birth"],
     )
 
 
@@ -185,6 +186,7 @@ def admission_stages(df: DataFrame, tie_break: Sequence[str] | None = None) -> D
     return stage_counts(
         df, "admissions", "admission_id", [TABLES["admissions"].watermark],
         [("dedup_admission_id", None), ("valid_date_order", in_order)], tie_break,
+        ["admission_date", "discharge_date"],
     )
 
 
