@@ -3,7 +3,8 @@
 A measure is arithmetic over base aggregates. For a query the aggregates are collected, grouped
 into frames that can be computed together, reduced, stacked, and combined:
 
-* A frame first reduces its fact to the foreign keys and columns the query needs, with partial
+* A frame makes one pass over its fact, however many calendar periods it serves.
+* It first reduces the fact to the foreign keys and columns the query needs, with partial
   aggregation in the map tasks. Dimensions and parent facts are joined to these reduced rows, so a
   hot patient or admission crosses the network as one row per map task.
 * No join carries a broadcast hint. Spark broadcasts sides whose measured size is below its
@@ -127,8 +128,9 @@ def _date_fact(table: str) -> str:
 
 @dataclass(frozen=True)
 class _FrameKey:
+    """What aggregates must share to be computed in one pass over their table."""
+
     table: str
-    period: str | None
     group: tuple[str, ...]
     where: tuple[tuple[str, Any], ...]
     alone: Agg | None
@@ -237,7 +239,7 @@ class Star:
         if alone and agg.only is not None:
             kept[agg.only[0]] = agg.only[1]
         frozen = tuple((c, tuple(w) if isinstance(w, (list, set)) else w) for c, w in kept.items())
-        return _FrameKey(agg.table, agg.period, group, frozen, agg if alone else None)
+        return _FrameKey(agg.table, group, frozen, agg if alone else None)
 
     def _combine(
         self, aggs: Mapping[Agg, str], by: Sequence[str], where: Mapping[str, Any], needs_domain: bool
@@ -330,41 +332,78 @@ class Star:
         return self._reduce(table, {}, by, {c: w for c, w in where.items() if _table(c) in reached})
 
     def _frame(self, key: _FrameKey, aggs: Mapping[Agg, str]) -> DataFrame:
-        where = dict(key.where)
         if key.alone is not None and key.alone.kind == "daily_mean":
-            return self._mean_of_days(key, aggs[key.alone], where)
-        bridge = self._bridge(key, where) if key.period else None
-        return self._reduce(key.table, aggs, key.group, where, bridge)
+            return self._mean_of_days(key, aggs[key.alone])
+        if any(a.period for a in aggs):
+            return self._over_periods(key, aggs)
+        return self._reduce(key.table, aggs, key.group, dict(key.where))
 
-    def _bridge(self, key: _FrameKey, where: Mapping[str, Any]) -> DataFrame:
-        on_dates = {c: w for c, w in where.items() if _table(c) == DATE}
-        others = {c: w for c, w in where.items() if _table(c) != DATE}
+    def _over_periods(self, key: _FrameKey, aggs: Mapping[Agg, str]) -> DataFrame:
+        """Aggregates over calendar periods, and over the plain context, in one pass.
+
+        The table is reduced to one row per day and other grouping columns. These rows are joined
+        to the union of the bridges of all periods, which spreads each day to the groups it counts
+        for.
+        """
+        others, daily_where, day = self._daily_context(key)
+        base: dict[Agg, str] = {}
+        for agg in aggs:
+            base.setdefault(replace(agg, period=None), f"_b{len(base)}")
+        distinct = key.alone is not None and key.alone.kind == "distinct"
+        daily = self._reduce(key.table, base, [*others, day], daily_where, count=not distinct)
+        daily = daily.withColumnRenamed(_flat(day), "date_key")
+
+        periods = sorted({agg.period or "" for agg in aggs})
+        bridges = [self._bridge(key, period).withColumn("_period", F.lit(period)) for period in periods]
+        bridge = reduce(DataFrame.unionByName, bridges)
+        # Rows without a date in the calendar belong to the plain context only.
+        undated = "" in periods and not any(_table(c) == DATE for c, _ in key.where)
+        spread = daily.join(bridge, "date_key", "left" if undated else "inner")
+        period = F.coalesce(F.col("_period"), F.lit(""))
+        flat = [_flat(c) for c in key.group]
+        if distinct:
+            return self._count_distinct(spread, flat, aggs[key.alone])
+        sums = [
+            F.sum(F.when(period == (agg.period or ""), F.col(base[replace(agg, period=None)]))).alias(name)
+            for agg, name in aggs.items()
+        ]
+        return spread.groupBy(*flat).agg(*sums)
+
+    def _daily_context(self, key: _FrameKey) -> tuple[list[str], dict[str, Any], str]:
+        """The grouping columns and filters that are not dates, and the day to group by."""
+        others = [c for c in key.group if _table(c) != DATE]
+        where = {c: w for c, w in key.where if _table(c) != DATE}
+        return others, where, f"{DATE}.date_key"
+
+    def _bridge(self, key: _FrameKey, period: str) -> DataFrame:
+        """Calendar columns of the grouping and the date keys that ``period`` maps them to."""
         groups = [c for c in key.group if _table(c) == DATE]
+        flat = [_flat(c) for c in groups]
         calendar = self.tables[DATE].withColumn(timeintel.DAY, F.col("full_date"))
         dates = calendar
-        for column, wanted in on_dates.items():
-            dates = dates.filter(condition(F.col(_column(column)), wanted))
-        if self.last_date == "data" and (key.period == "last" or key.period.startswith("rolling_")):
+        for column, wanted in key.where:
+            if _table(column) == DATE:
+                dates = dates.filter(condition(F.col(_column(column)), wanted))
+        columns = [F.col(_column(c)).alias(f) for c, f in zip(groups, flat)]
+        if period == "":
+            return dates.select(*columns, "date_key")
+        if self.last_date == "data" and (period == "last" or period.startswith("rolling_")):
             # The calendar up to the last date the fact has rows for.
             fact = _date_fact(key.table)
-            reached = _reached_from(fact)
-            kept = {c: w for c, w in others.items() if _table(c) in reached}
+            kept = {c: w for c, w in key.where if _table(c) != DATE and _table(c) in _reached_from(fact)}
             used = self._reduce(fact, {}, [f"{DATE}.date_key"], kept)
-            dates = dates.join(used, dates["date_key"] == used[_flat(f"{DATE}.date_key")], "left_semi")
-        dates = dates.select(*[F.col(_column(c)).alias(_flat(c)) for c in groups], timeintel.DAY)
-        return timeintel.bridge(dates, calendar, [_flat(c) for c in groups], key.period)
+            dates = dates.join(used.withColumnRenamed(_flat(f"{DATE}.date_key"), "date_key"), "date_key", "left_semi")
+        return timeintel.bridge(dates.select(*columns, timeintel.DAY), calendar, flat, period)
 
-    def _mean_of_days(self, key: _FrameKey, name: str, where: Mapping[str, Any]) -> DataFrame:
+    def _mean_of_days(self, key: _FrameKey, name: str) -> DataFrame:
         agg = key.alone
-        day = f"{DATE}.date_key"
-        others = [c for c in key.group if _table(c) != DATE]
-        free = {c: w for c, w in where.items() if _table(c) != DATE}
+        others, where, day = self._daily_context(key)
         parts = {replace(agg, kind="sum", period=None): "_sum", replace(agg, kind="values", period=None): "_n"}
-        daily = self._reduce(agg.table, parts, [*others, day], free).filter("_n > 0")
+        daily = self._reduce(agg.table, parts, [*others, day], where).filter("_n > 0")
         # A fixed number of digits, so that the sum does not depend on the order of the days.
         mean = (F.col("_sum").cast("double") / F.col("_n")).cast("decimal(20,10)")
         daily = daily.select(*[_flat(c) for c in others], F.col(_flat(day)).alias("date_key"), mean.alias("_mean"))
-        spread = daily.join(self._bridge(key, where), "date_key")
+        spread = daily.join(self._bridge(key, agg.period or ""), "date_key")
         total = F.sum("_mean").cast("double") / F.count("_mean")
         return spread.groupBy(*[_flat(c) for c in key.group]).agg(total.alias(name))
 
@@ -376,70 +415,56 @@ class Star:
         aggs: Mapping[Agg, str],
         by: Sequence[str],
         where: Mapping[str, Any],
-        bridge: DataFrame | None = None,
+        count: bool = True,
     ) -> DataFrame:
         """Aggregate ``table`` to ``by`` (flat names) through its relationships.
 
-        ``bridge`` stands in for the calendar: it holds the calendar columns of ``by`` and may
-        hold a date in several groups.
+        Without aggregates the result is the distinct groups. A distinct count with ``count=False``
+        stops at the distinct values, in ``_value``.
         """
         distinct = next((a for a in aggs if a.kind == "distinct"), None)
-        if bridge is not None:
-            where = {c: w for c, w in where.items() if _table(c) != DATE}
-        df, pending = self._first_reduction(table, aggs, by, where, bridge is not None, distinct)
-        flat_by = [_flat(c) for c in by]
-        if not pending:
-            return df if distinct is None else self._count_distinct(df, flat_by, aggs[distinct])
-
         names = ["_value"] if distinct is not None else list(aggs.values())
-        joined = False
-        for hop_table, needed in self._hops(table, by, where, bridge is not None):
-            fk, nxt, key = hop_table
-            if nxt.startswith("fact_"):
-                df, deeper = self._through_fact(df, nxt, key, fk, needed, where, bridge is not None)
-                keep = [c for c in df.columns if c not in names and c != f"_fk_{fk}"]
-                df = self._regroup(df, keep, names, distinct)
-                for (deep_fk, deep_table, deep_key), deep_needed in deeper:
-                    df = self._join_dim(df, deep_table, deep_key, f"_fk_{deep_fk}", deep_needed, where, bridge)
-            else:
-                df = self._join_dim(df, nxt, key, f"_fk_{fk}", needed, where, bridge)
-            joined = True
-        assert joined
+        flat_by = [_flat(c) for c in by]
+        hops = self._hops(table, [*by, *where])
+        df = self._first_reduction(table, aggs, by, where, hops, distinct)
+        for (fk, nxt, key), needed in hops:
+            if not nxt.startswith("fact_"):
+                df = self._join_dim(df, nxt, key, fk, needed, where)
+                continue
+            df, deeper = self._join_parent(df, nxt, key, fk, needed, where)
+            df = self._regroup(df, [c for c in df.columns if c not in names], names, distinct)
+            for (deep_fk, dim, dim_key), dim_needed in deeper:
+                df = self._join_dim(df, dim, dim_key, deep_fk, dim_needed, where)
         if distinct is not None:
-            return self._count_distinct(df, flat_by, aggs[distinct])
-        return self._regroup(df, flat_by, names, None)
+            return self._count_distinct(df, flat_by, aggs[distinct]) if count else df.select(*flat_by, *names).distinct()
+        return self._regroup(df, flat_by, names, None) if hops else df
 
-    def _hops(
-        self, table: str, by: Sequence[str], where: Mapping[str, Any], bridged: bool
-    ) -> list[tuple[tuple[str, str, str], list[str]]]:
-        """First hops the query needs from ``table`` with the qualified columns behind each."""
+    @staticmethod
+    def _hops(table: str, columns: Sequence[str]) -> list[tuple[tuple[str, str, str], list[str]]]:
+        """First hops from ``table`` to the tables of the columns, with the columns behind each."""
         needed: dict[tuple[str, str, str], list[str]] = {}
-        for column in dict.fromkeys([*by, *where]):
+        for column in dict.fromkeys(columns):
             if _table(column) != table:
                 needed.setdefault(_first_hop(table, _table(column)), []).append(column)
-        if bridged:
-            needed.setdefault(_first_hop(table, DATE), [])
         return list(needed.items())
 
     def _first_reduction(
         self, table: str, aggs: Mapping[Agg, str], by: Sequence[str], where: Mapping[str, Any],
-        bridged: bool, distinct: Agg | None,
-    ) -> tuple[DataFrame, bool]:
+        hops: Sequence[tuple[tuple[str, str, str], list[str]]], distinct: Agg | None,
+    ) -> DataFrame:
         """Filter on the table's own columns and group by its foreign keys and grouping columns."""
         df = self.tables[table]
         for column, wanted in where.items():
             if _table(column) == table:
                 df = df.filter(condition(F.col(_column(column)), wanted))
         df = self._limit_dates(df, table, where)
-        hops = self._hops(table, by, where, bridged)
         own = [F.col(_column(c)).alias(_flat(c)) for c in by if _table(c) == table]
         foreign = [F.col(fk).alias(f"_fk_{fk}") for (fk, _, _), _ in hops]
         if distinct is not None:
-            value = F.col(distinct.column).alias("_value")
-            return df.select(*own, *foreign, value).distinct(), bool(hops)
+            return df.select(*own, *foreign, F.col(distinct.column).alias("_value")).distinct()
         if not aggs:
-            return df.select(*own, *foreign).distinct(), bool(hops)
-        return df.groupBy(*own, *foreign).agg(*[self._base(a).alias(n) for a, n in aggs.items()]), bool(hops)
+            return df.select(*own, *foreign).distinct()
+        return df.groupBy(*own, *foreign).agg(*[self._base(a).alias(n) for a, n in aggs.items()])
 
     def _limit_dates(self, df: DataFrame, table: str, where: Mapping[str, Any]) -> DataFrame:
         """Apply date filters before the reduction: by stored year where possible, then by date key."""
@@ -482,37 +507,31 @@ class Star:
         count = F.nullif(F.count_distinct("_value") + blank, F.lit(0))
         return df.groupBy(*by).agg(count.alias(name))
 
-    def _through_fact(
-        self, df: DataFrame, fact: str, key: str, fk: str, needed: list[str], where: Mapping[str, Any], bridged: bool
+    def _join_parent(
+        self, df: DataFrame, parent: str, key: str, fk: str, needed: Sequence[str], where: Mapping[str, Any]
     ) -> tuple[DataFrame, list[tuple[tuple[str, str, str], list[str]]]]:
-        """Join reduced rows to their parent fact for its columns and onward foreign keys."""
-        parent = self.tables[fact]
-        filtered = False
-        for column in needed:
-            if column in where and _table(column) == fact:
-                parent = parent.filter(condition(F.col(_column(column)), where[column]))
-                filtered = True
-        date_filters = {c: where[c] for c in needed if c in where and _table(c) == DATE}
-        parent = self._limit_dates(parent, fact, date_filters)
-        deeper = self._hops(fact, [c for c in needed], {}, bridged)
-        own = [F.col(_column(c)).alias(_flat(c)) for c in needed if _table(c) == fact]
+        """Join reduced rows to their parent fact for its columns and its own foreign keys."""
+        table, filtered = self._filtered(parent, needed, where)
+        on_dates = {c: where[c] for c in needed if c in where and _table(c) == DATE}
+        table = self._limit_dates(table, parent, on_dates)
+        deeper = self._hops(parent, needed)
+        own = [F.col(_column(c)).alias(_flat(c)) for c in needed if _table(c) == parent]
         onward = [F.col(f).alias(f"_fk_{f}") for (f, _, _), _ in deeper]
-        parent = parent.select(F.col(key).alias(f"_fk_{fk}"), *own, *onward)
-        how = "inner" if filtered or date_filters else "left"
-        return df.join(parent, f"_fk_{fk}", how), deeper
+        side = table.select(F.col(key).alias(f"_fk_{fk}"), *own, *onward)
+        how = "inner" if filtered or on_dates else "left"
+        return df.join(side, f"_fk_{fk}", how).drop(f"_fk_{fk}"), deeper
 
     def _join_dim(
-        self, df: DataFrame, dim: str, key: str, fk: str, needed: list[str],
-        where: Mapping[str, Any], bridge: DataFrame | None,
+        self, df: DataFrame, dim: str, key: str, fk: str, needed: Sequence[str], where: Mapping[str, Any]
     ) -> DataFrame:
-        if dim == DATE and bridge is not None:
-            return df.join(bridge.withColumnRenamed("date_key", fk), fk).drop(fk)
-        table = self.tables[dim]
-        filtered = False
+        table, filtered = self._filtered(dim, needed, where)
+        side = table.select(F.col(key).alias(f"_fk_{fk}"), *[F.col(_column(c)).alias(_flat(c)) for c in needed])
+        return df.join(side, f"_fk_{fk}", "inner" if filtered else "left").drop(f"_fk_{fk}")
+
+    def _filtered(self, name: str, needed: Sequence[str], where: Mapping[str, Any]) -> tuple[DataFrame, bool]:
+        table, filtered = self.tables[name], False
         for column in needed:
-            if column in where:
+            if column in where and _table(column) == name:
                 table = table.filter(condition(F.col(_column(column)), where[column]))
                 filtered = True
-        wanted = [F.col(_column(c)).alias(_flat(c)) for c in needed]
-        side = table.select(F.col(key).alias(fk), *wanted)
-        return df.join(side, fk, "inner" if filtered else "left").drop(fk)
+        return table, filtered
