@@ -126,6 +126,12 @@ def _date_fact(table: str) -> str:
         table = nxt
 
 
+def _date_column(table: str) -> str:
+    """The qualified date key that ``table`` is counted by."""
+    fact = _date_fact(table)
+    return f"{fact}.{_first_hop(fact, DATE)[0]}"
+
+
 @dataclass(frozen=True)
 class _FrameKey:
     """What aggregates must share to be computed in one pass over their table."""
@@ -370,10 +376,10 @@ class Star:
         return spread.groupBy(*flat).agg(*sums)
 
     def _daily_context(self, key: _FrameKey) -> tuple[list[str], dict[str, Any], str]:
-        """The grouping columns and filters that are not dates, and the day to group by."""
+        """The grouping columns and filters that are not dates, and the date key to group by."""
         others = [c for c in key.group if _table(c) != DATE]
         where = {c: w for c, w in key.where if _table(c) != DATE}
-        return others, where, f"{DATE}.date_key"
+        return others, where, _date_column(key.table)
 
     def _bridge(self, key: _FrameKey, period: str) -> DataFrame:
         """Calendar columns of the grouping and the date keys that ``period`` maps them to."""
@@ -391,8 +397,8 @@ class Star:
             # The calendar up to the last date the fact has rows for.
             fact = _date_fact(key.table)
             kept = {c: w for c, w in key.where if _table(c) != DATE and _table(c) in _reached_from(fact)}
-            used = self._reduce(fact, {}, [f"{DATE}.date_key"], kept)
-            dates = dates.join(used.withColumnRenamed(_flat(f"{DATE}.date_key"), "date_key"), "date_key", "left_semi")
+            used = self._reduce(fact, {}, [_date_column(fact)], kept)
+            dates = dates.join(used.withColumnRenamed(_flat(_date_column(fact)), "date_key"), "date_key", "left_semi")
         return timeintel.bridge(dates.select(*columns, timeintel.DAY), calendar, flat, period)
 
     def _mean_of_days(self, key: _FrameKey, name: str) -> DataFrame:
