@@ -657,7 +657,7 @@ ORACLES: dict[str, str] = {
     "m_pending_by_status": _star(
         f"""
         select payment_status, {_REV} as total_revenue,
-               (select count(*) from bill where payment_status in ('Pending', 'Partial')) as pending_bills
+               (select nullif(count(*), 0) from bill where payment_status in ('Pending', 'Partial')) as pending_bills
         from bill group by payment_status
         """
     ),

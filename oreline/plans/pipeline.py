@@ -16,6 +16,7 @@ from oreline.operators.stages import stage_sizes
 from oreline.plans import bronze, gold, silver
 from oreline.plans.star import Star
 from oreline.schemas import TABLES
+from oreline.session import fit_shuffles
 from oreline.sources import control, raw, sinks
 
 NAME = "layered_tables"
@@ -152,6 +153,7 @@ class Run:
     def all(self, rebuild_dims: bool = True, rebuild_facts: bool = True, rebuild_aggs: bool = True) -> DataFrame:
         """Run every step and return the stage counts; a failure is logged and raised."""
         self._guard("*", "check_files", self.check_files)
+        fit_shuffles(self.spark, raw.stored_bytes(self.spark, self.landing))
         for name in self.tables:
             self._guard(name, "bronze", lambda name=name: self.bronze(name))
         counts = [self._guard(name, "silver", lambda name=name: self.silver(name)) for name in self.tables]

@@ -33,6 +33,22 @@ def local_session(app_name: str = "oreline", cpus: int | str = "*", **extra: str
     return spark
 
 
+SHUFFLE_TARGET = 1024**3
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the number of shuffle partitions so that none gets more than its share of the input.
+
+    The number is only ever raised: adaptive execution merges small partitions but cannot split
+    those of a plain aggregation, and the default of 200 leaves 500 GB each for 100 TB.
+    """
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    needed = max(current, -(-input_bytes // SHUFFLE_TARGET))
+    if needed > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(needed))
+    return needed
+
+
 _scratch: dict[str, str] = {}
 
 

@@ -59,6 +59,12 @@ def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files below some paths, from their listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+
+
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Name, change time and size of the files in a folder; contents are not read."""
     files = spark.read.format("binaryFile").load(folder)

@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         "tests", 8, **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
         },
     )
