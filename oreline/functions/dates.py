@@ -20,6 +20,15 @@ def date_key(col: Column) -> Column:
     return F.year(col) * 10000 + F.month(col) * 100 + F.dayofmonth(col)
 
 
+def plus_days(col: Column, days: int) -> Column:
+    return F.date_add(col, days)
+
+
+def plus_hours(col: Column, hours: int) -> Column:
+    """Timestamp n hours later."""
+    return col.cast("timestamp") + F.make_dt_interval(hours=F.lit(hours))
+
+
 def iso_text(col: Column) -> Column:
     return F.date_format(col, "yyyy-MM-dd")
 

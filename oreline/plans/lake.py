@@ -10,6 +10,7 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from oreline.plans import gold, silver
 from oreline.plans.star import TABLE_NAMES, Star
@@ -17,13 +18,8 @@ from oreline.session import shared_folder
 from oreline.sources.binding import AS_OF, CALENDAR, bind
 from oreline.sources.sinks import write_parquet
 
-_written: set[str] = set()
-
-_COLUMNS = {
-    "fact_admissions": gold.ADMISSION_FACT,
-    "fact_billing": gold.BILLING_FACT,
-    "fact_bed_occupancy": gold.OCCUPANCY_FACT,
-}
+# Schemas of the stored tables by path.
+_written: dict[str, T.StructType] = {}
 
 
 class Lake:
@@ -64,11 +60,10 @@ class Lake:
         """The stored table, written on first use."""
         path = f"{self.root}/{name}"
         if path not in _written:
-            write_parquet(self.build(name), path, partition_by=gold.PARTITIONS.get(name))
-            _written.add(path)
-        stored = self.spark.read.parquet(path)
-        # A partition column comes back last.
-        return stored.select(*_COLUMNS.get(name, stored.columns))
+            built = self.build(name)
+            write_parquet(built, path, partition_by=gold.PARTITIONS.get(name))
+            _written[path] = built.schema
+        return self.spark.read.schema(_written[path]).parquet(path).select(*_written[path].names)
 
     def star(self, last_date: str = "data") -> Star:
         """A star that stores and reads each table when a query first asks for it."""

@@ -9,6 +9,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreline.schemas import TABLES
 
@@ -25,8 +26,16 @@ _DEPARTMENT_CASE = "case o_custkey % 10 " + " ".join(
 ) + " end"
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table; its footers are read for the schema once per session."""
+    path = f"{folder}/{name}.parquet"
+    seen = (spark.sparkContext.applicationId, path)
+    if seen not in _schemas:
+        _schemas[seen] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[seen]).parquet(path)
 
 
 def patients(spark: SparkSession, folder: str) -> DataFrame:

@@ -49,6 +49,14 @@ def test_date_parts(rows):
     ]
 
 
+def test_stepping_through_the_calendar(rows):
+    got = rows(
+        [(D(2024, 2, 28),), (None,)], "d date",
+        dates.plus_days(F.col("d"), 2), dates.plus_days(F.col("d"), -59), dates.plus_hours(F.col("d"), 25).cast("string"),
+    )
+    assert got == [(D(2024, 3, 1), D(2023, 12, 31), "2024-02-29 01:00:00"), (None, None, None)]
+
+
 def test_open_stay_counts_to_as_of(rows):
     data = [(D(2024, 1, 1), D(2024, 1, 5)), (D(2024, 1, 1), None), (None, D(2024, 1, 5)), (None, None)]
     stay = dates.stay_days(F.col("a"), F.col("b"), D(2024, 1, 31))
