@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreline.schemas import TABLES
+from oreline.sources.raw import spread
 
 AS_OF = dt.date(2002, 1, 1)
 CALENDAR = (dt.date(1995, 1, 1), dt.date(2024, 12, 31))
@@ -61,7 +62,7 @@ def patients(spark: SparkSession, folder: str) -> DataFrame:
 
 def admissions(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
     """``extra`` adds expressions over the order columns."""
-    orders = _table(spark, folder, "orders")
+    orders = spread(_table(spark, folder, "orders"), "o_orderkey")
     last_ship = (
         _table(spark, folder, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
@@ -94,7 +95,7 @@ def admissions(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
 
 
 def billing(spark: SparkSession, folder: str) -> DataFrame:
-    lines = _table(spark, folder, "lineitem")
+    lines = spread(_table(spark, folder, "lineitem"), "l_orderkey")
     owners = _table(spark, folder, "orders").select("o_orderkey", "o_custkey")
     joined = lines.join(owners, lines.l_orderkey == owners.o_orderkey, "left")
     # Ten digits before the point keep the products below in the fast, long-backed decimals.

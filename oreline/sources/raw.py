@@ -26,6 +26,16 @@ def scan_text(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return raw.select(*[_cell(c).alias(c) for c in raw.columns], F.col("_metadata.file_name").alias("_source_file"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a scan with fewer splits than cores to all cores.
+
+    A file that cannot be split feeds one task, which then does all the work up to the next
+    shuffle. A large table has far more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def conform(df: DataFrame, table: SourceTable) -> DataFrame:
     """Add declared columns a load did not bring, as NULL."""
     absent = [c for c in table.columns if c not in df.columns]
