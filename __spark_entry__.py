@@ -6,6 +6,7 @@ import datetime as dt
 import os
 import sys
 from collections.abc import Callable
+from decimal import Decimal
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -19,7 +20,7 @@ from oreline.operators.audit import add_audit  # noqa: E402
 from oreline.operators import profile  # noqa: E402
 from oreline.plans import gold, reports, silver  # noqa: E402
 from oreline.plans.lake import Lake  # noqa: E402
-from oreline.plans.measures import MEASURES, pick  # noqa: E402
+from oreline.plans.measures import pick  # noqa: E402
 from oreline.plans.security import secure  # noqa: E402
 from oreline.schemas import TABLES  # noqa: E402
 from oreline.session import fit_shuffles  # noqa: E402
@@ -165,8 +166,6 @@ def agg_revenue_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def bill_derivation(spark: SparkSession, folder: str) -> DataFrame:
     """Bills from the order totals, with payer shares by market segment."""
-    from decimal import Decimal
-
     admissions = binding.admissions(spark, folder, "o_totalprice as charge")
     patients = bind(spark, folder, "patients").withColumn("insurance_type", F.trim("insurance_type"))
     shares = {"AUTOMOBILE": Decimal("0.80"), "BUILDING": Decimal("0.75"), "MACHINERY": Decimal("0.65")}
@@ -226,12 +225,6 @@ def _secured(roles: list[str], *by: str) -> Query:
     return lambda spark, folder: secure(Lake(spark, folder).star(), roles, "Icu").query(pick(*SECURED), by)
 
 
-def rls_patients_read_only(spark: SparkSession, folder: str) -> DataFrame:
-    return secure(Lake(spark, folder).star(), ["ReadOnly"], "Icu").query(
-        pick("total_unique_patients", "total_revenue"), [MONTH]
-    )
-
-
 _sized: set[tuple[str, str]] = set()
 
 
