@@ -27,6 +27,16 @@ from oreline.session import fit_shuffles  # noqa: E402
 from oreline.sources import binding, raw  # noqa: E402
 from oreline.sources.binding import AS_OF, bind  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from oreline.llm import oracles as llm_oracles
+    from oreline.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # The operators for training data are an optional part of the library.
+    if missing.name not in ("corpus_pipeline", "oreline.llm"):
+        raise
+    corpus_pipeline = llm_queries = llm_oracles = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 RUN_TS = dt.datetime(2002, 1, 1)
@@ -363,9 +373,13 @@ def _queries() -> dict[str, Query]:
         "rpt_occupancy_heatmap": _report(reports.occupancy_heatmap),
         "rpt_occupancy_trend": _report(reports.occupancy_trend),
         "rpt_critical_alerts": _report(reports.critical_alerts),
+        **(llm_queries.QUERIES | {"pipeline": corpus_pipeline.run} if llm_queries else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """For each query the same result in SQL over the same tables."""
-    return dict(ORACLES)
+    more = dict(llm_oracles.ORACLES) if llm_queries else {}
+    if llm_queries and corpus_pipeline.ORACLE_SQL:
+        more["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return dict(ORACLES) | more

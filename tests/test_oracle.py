@@ -21,10 +21,12 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    """Operators that SQL cannot express have tests of their own, all others have SQL."""
+    assert set(oracle_sql()) <= set(queries())
+    assert not [q for q in set(queries()) - set(oracle_sql()) if not q.startswith("op") and q != "pipeline"]
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = queries()[name](spark, FOLDER)
     mine = check.rows_of(df.columns, df.collect())
