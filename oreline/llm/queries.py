@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import line_dedup, substring_dedup, suffix_dedup, warc
+from oreline.llm import language_id, line_dedup, packing, substring_dedup, suffix_dedup, toxicity, warc
+
+#: A text counts as toxic from this probability of a grade above 0.
+TOXIC_FROM = 0.5
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Learn from a bounded sample of the labelled documents, score all: doc_id, expected_severity, p_toxic, toxic."""
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    labels = _read(spark, folder, "labels").select("doc_id", F.col("toxic").alias("grade"))
+    model = toxicity.fit(docs.join(labels, "doc_id"))
+    return toxicity.score(docs, model).withColumn("toxic", F.col("p_toxic") >= TOXIC_FROM)
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup.repeated_lines(_read(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -22,6 +40,14 @@ def op5_warc_archive(spark: SparkSession, folder: str) -> DataFrame:
     return warc.read(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(_read(spark, folder, "documents"))
+
+
+def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_read(spark, folder, "documents"), tokenizer_path())
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = substring_dedup.repeated_words(_read(spark, folder, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -35,4 +61,10 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_warc_archive, op9_substring_dedup, op10_suffix_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity, op4_line_dedup, op5_warc_archive, op6_language_id, op8_best_fit_packing, op9_substring_dedup,
+        op10_suffix_dedup,
+    )
+}
