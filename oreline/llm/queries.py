@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from oreline.llm import language_id, line_dedup, packing, substring_dedup, suffix_dedup, toxicity, warc
 
 #: A text counts as toxic from this probability of a grade above 0.
-TOXIC_FROM = 0.5
+TOXIC_FROM = 0.25
 
 
 def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -62,34 +62,33 @@ def _sigmoid(x):
 def fit_sample(texts: list[str | None], grades: list[int], features: int = FEATURES, penalty: float = 1e-5, steps: int = 300) -> Model:
     """Fit by gradient steps with momentum; thresholds stay ordered as sums of positive gaps.
 
-    Where the labels have one grade above 0 only, it is split in two at the median share of telling words.
+    Where the labels have one grade above 0 only, it is split in two at the median number of telling words.
     """
     counts, y = [_counts(t) for t in texts], np.array(grades, dtype=np.int64)
     top = int(y.max(initial=0))
-    # Near copies, known by their least word hashes, count once, or the odd words of a copied text would seem to tell.
-    seen: set[tuple] = set()
+    # Near copies, known by the least hash of their word triples, count once, or the odd words of a copied text would seem to tell.
+    seen: set[int] = set()
     held, n = {g: Counter() for g in (False, True)}, {False: 0, True: 0}
-    for own, grade in zip(counts, y):
-        sign = tuple(sorted(xxhash.xxh3_64_intdigest(w) for w in own)[:2])
+    for text, own, grade in zip(texts, counts, y):
+        run = _WORD.findall((text or "").lower())
+        sign = min((xxhash.xxh3_64_intdigest(" ".join(run[k : k + 3])) for k in range(max(1, len(run) - 2))))
         if sign not in seen:
             seen.add(sign)
             held[bool(grade > 0)].update(own.keys())
             n[bool(grade > 0)] += 1
     n1, n0 = max(1, n[True]), max(1, n[False])
-    # The words whose share of documents differs most, in units of its standard error.
-    score = {}
-    for word in held[True].keys() | held[False].keys():
+    # Words whose share of graded documents is not chance: Chernoff's bound, for all words together below one in a hundred.
+    every, share, score = held[True].keys() | held[False].keys(), n1 / (n1 + n0), {}
+    for word in every:
         a, b = held[True][word], held[False][word]
-        if a + b >= max(3, (n1 + n0) // 1000):
-            p = (a + b) / (n1 + n0)
-            score[word] = abs(a / n1 - b / n0) / np.sqrt(p * (1 - p) * (1 / n1 + 1 / n0) + 1e-12)
-    words = [w for w in sorted(score, key=lambda w: (-score[w], w))[:features] if score[w] >= 4]
+        score[word] = sum(x * np.log(x / ((a + b) * s)) for x, s in ((a, share), (b, 1 - share)) if x)
+    words = [w for w in sorted(score, key=lambda w: (-score[w], w))[:features] if score[w] >= np.log(100 * len(every))]
     index = {w: k for k, w in enumerate(words)}
     row, column, value = _matrix(counts, index)
     if top == 1:
         telling = {w for w in words if held[True][w] / n1 > 5 * held[False][w] / n0}
-        density = np.array([sum(own[w] for w in own.keys() & telling) / max(1, own.total()) for own in counts])
-        y = np.where((y == 1) & (density > np.median(density[y == 1])), 2, y)
+        often = np.array([sum(own[w] for w in own.keys() & telling) for own in counts])
+        y = np.where((y == 1) & (often > np.median(often[y == 1])), 2, y)
         top = int(y.max())
     w = np.zeros(len(words))
     share = np.array([(np.sum(y <= k) + 1) / (len(y) + 2) for k in range(top)])
