@@ -3,6 +3,33 @@
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+OP2 = f"""
+with tokens as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as w from documents
+), item_tokens as (
+  select item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '') as w from benchmark
+), item_windows as (
+  select distinct item_id, array_to_string(w[s : s + 9], ' ') as win, least(len(w), 10) as k
+  from (select item_id, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) as s from item_tokens where len(w) > 0)
+), doc_windows as (
+  select doc_id, s, k, array_to_string(w[s : s + k - 1], ' ') as win
+  from (select doc_id, w, unnest(range(1, len(w) + 1)) as s from tokens), (select distinct k from item_windows)
+  where s + k - 1 <= len(w)
+), matches as (
+  select d.doc_id, d.s, d.k, i.item_id from doc_windows d join item_windows i on d.win = i.win and d.k = i.k
+), hit as (
+  select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + k)) as p from matches) group by doc_id
+), found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, item_id::varchar as item from matches) group by doc_id
+)
+select t.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from tokens t left join hit h on t.doc_id = h.doc_id left join found f on t.doc_id = f.doc_id
+"""
+
 OP4 = f"""
 with lines as (
   select doc_id, u.line, u.n
@@ -54,4 +81,4 @@ select s.doc_id, len(words)::bigint as n_words, coalesce(len(ps), 0)::bigint as
 from split s left join lost l on s.doc_id = l.doc_id
 """
 
-ORACLES = {"op4_line_dedup": OP4, "op5_warc_archive": OP5, "op9_substring_dedup": OP9}
+ORACLES = {"op2_decontamination": OP2, "op4_line_dedup": OP4, "op5_warc_archive": OP5, "op9_substring_dedup": OP9}

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreline.llm import language_id, line_dedup, packing, substring_dedup, suffix_dedup, toxicity, warc
+from oreline.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    packing,
+    quality,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 
 #: A text counts as toxic from this probability of a grade above 0.
 TOXIC_FROM = 0.25
@@ -30,6 +40,19 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("toxic", F.col("p_toxic") >= TOXIC_FROM)
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    out = decontamination.contaminated(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    trusted = _read(spark, folder, "labels").where("quality = 1")
+    return quality.judge(_read(spark, folder, "documents"), trusted)
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = line_dedup.repeated_lines(_read(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -64,7 +87,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_toxicity, op4_line_dedup, op5_warc_archive, op6_language_id, op8_best_fit_packing, op9_substring_dedup,
+        op1_toxicity, op2_decontamination, op3_quality_rules, op4_line_dedup, op5_warc_archive, op6_language_id, op8_best_fit_packing, op9_substring_dedup,
         op10_suffix_dedup,
     )
 }
