@@ -61,6 +61,31 @@ select page_id, payload_bytes::bigint as payload_bytes,
 from ranked
 """
 
+OP7 = f"""
+with recursive split as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[ \\t\\n\\x0B\\f\\r]+'),
+    lambda w: w <> '') as w from documents
+), shingles as (
+  select distinct doc_id, array_to_string(w[s : s + 4], ' ') as shingle
+  from (select doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) as s from split where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select x.doc_id as a, y.doc_id as b, count(*) as same
+  from shingles x join shingles y on x.shingle = y.shingle and x.doc_id <> y.doc_id group by x.doc_id, y.doc_id
+), links as (
+  select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b where 100 * same >= 75 * (p.n + q.n - same)
+), reach as (
+  select doc_id, doc_id as other from documents
+  union
+  select r.doc_id, l.b from reach r join links l on r.other = l.a
+), least as (
+  select doc_id, min(other) as component_id from reach group by doc_id
+)
+select d.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, d.doc_id = component_id as kept
+from documents d join least using (doc_id) left join sizes s on s.doc_id = d.doc_id
+"""
+
 OP9 = """
 with split as (
   select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') as words from documents
@@ -81,4 +106,4 @@ select s.doc_id, len(words)::bigint as n_words, coalesce(len(ps), 0)::bigint as
 from split s left join lost l on s.doc_id = l.doc_id
 """
 
-ORACLES = {"op2_decontamination": OP2, "op4_line_dedup": OP4, "op5_warc_archive": OP5, "op9_substring_dedup": OP9}
+ORACLES = {"op2_decontamination": OP2, "op4_line_dedup": OP4, "op5_warc_archive": OP5, "op7_near_dedup": OP7, "op9_substring_dedup": OP9}

@@ -9,6 +9,7 @@ from oreline.llm import (
     decontamination,
     language_id,
     line_dedup,
+    near_dedup,
     packing,
     quality,
     substring_dedup,
@@ -67,6 +68,10 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(_read(spark, folder, "documents"))
 
 
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(_read(spark, folder, "documents"))
+
+
 def op8_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_read(spark, folder, "documents"), tokenizer_path())
 
@@ -87,7 +92,7 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_toxicity, op2_decontamination, op3_quality_rules, op4_line_dedup, op5_warc_archive, op6_language_id, op8_best_fit_packing, op9_substring_dedup,
+        op1_toxicity, op2_decontamination, op3_quality_rules, op4_line_dedup, op5_warc_archive, op6_language_id, op7_near_dedup, op8_best_fit_packing, op9_substring_dedup,
         op10_suffix_dedup,
     )
 }
