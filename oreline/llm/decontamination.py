@@ -44,7 +44,7 @@ def contaminated(
     """Which documents hold windows of benchmark items.
 
     items has item_id and text. An item with fewer words than ``window`` is one window, one without words none; null item
-    ids name no item but their windows count as hits. One row per document row: doc_id, n_words, n_hit (words
+    ids name no item but their windows count as hits. One row per document row: doc_id, version (a hash of the text), n_words, n_hit (words
     inside any occurrence), spans (start and length of the occurrences), items (ids as strings, sorted). Null texts have no
     words. Rows that share id and text get the same result. Other columns are not read. Empty tables give
     no hits, or no rows.
@@ -96,7 +96,7 @@ def contaminated(
     inside = F.flatten(F.transform("spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1)))
     sizes = rows.select("doc_id", "version", F.size("w").alias("n_words"))
     return sizes.join(hits, sizes.doc_id.eqNullSafe(hits.d) & (sizes.version == hits.v), "left").select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"),
+        "doc_id", "version", F.col("n_words").cast("long").alias("n_words"),
         F.coalesce(F.size(F.array_distinct(inside)), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("spans", F.array().cast("array<struct<start:int,length:int>>")).alias("spans"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),

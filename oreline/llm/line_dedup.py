@@ -81,7 +81,8 @@ def _filter(docs: DataFrame, segments: int, min_chars: int) -> np.ndarray:
 
 
 def repeated_lines(
-    docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS
+    docs: DataFrame, min_chars: int = 10, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Keep a line that stands in several documents only in the document of the smallest id.
 
@@ -89,10 +90,14 @@ def repeated_lines(
     than ``min_chars`` code points stay. One row per input row: doc_id, n_lines, n_dropped, dropped (line numbers from 0)
     and kept (the other lines joined by \\n, empty when none is left).
     A null or empty text is one empty line. A null id is one document after all others; rows that share
-    an id are one document. Other columns are not read. An empty table gives an empty result.
+    an id are one document. Columns named in ``carry`` follow unchanged, others are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     ship(spark)
+    held = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+        F.struct(F.lit(0).alias("none"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(carry))).alias("held"),
+    )
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     n = rows.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1)).first()[0] or 0
     segments = max(1, min(max_bits, 1 << (16 * int(n)).bit_length()) // SEGMENT)
@@ -144,9 +149,12 @@ def repeated_lines(
                 out.append((i, len(lines), len(gone), gone, kept))
             types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, types)],
-                names=["doc_id", "n_lines", "n_dropped", "dropped", "kept"],
+                [*(pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, types)), batch.column("held")],
+                names=["doc_id", "n_lines", "n_dropped", "dropped", "kept", "held"],
             )
 
-    whole = rows.withColumn("rank", X.ranked("doc_id")).join(lost, "rank", "left")
-    return whole.select("doc_id", "text", "lost").mapInArrow(remove, OUT)
+    whole = held.withColumn("rank", X.ranked("doc_id")).join(lost, "rank", "left")
+    out = whole.select("doc_id", "text", "lost", "held").mapInArrow(remove, f"{OUT}, held {held.schema['held'].dataType.simpleString()}")
+    return out.select(
+        "doc_id", "n_lines", "n_dropped", "dropped", "kept", *(F.col(f"held.c{k}").alias(c) for k, c in enumerate(carry))
+    )

@@ -95,7 +95,7 @@ def ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, doc_id:
 def judge(
     docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per document row: doc_id, the base counts, base_failed, score and kept.
+    """One row per document row: doc_id, version (a hash of the text), the base counts, base_failed, score and kept.
 
     trusted has the doc_id of the target documents. base_failed: fewer than 50 words, or more than half of them in
     repeated triples. kept: not base_failed and score >= threshold. A document without words scores 0; without trusted
@@ -116,5 +116,5 @@ def judge(
         .withColumn("score", F.coalesce("score", F.lit(0.0)))
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("score") >= threshold))
-        .drop("d", "v", "version")
+        .drop("d", "v")
     )

@@ -51,7 +51,7 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     trusted = _read(spark, folder, "labels").where("quality = 1")
-    return quality.judge(_read(spark, folder, "documents"), trusted)
+    return quality.judge(_read(spark, folder, "documents"), trusted).drop("version")
 
 
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
