@@ -102,7 +102,8 @@ def judge(
     documents all score 0. Null texts have no words; null ids are never trusted; rows that share id and text get the same
     result. Other columns are not read. An empty table gives an empty result.
     """
-    base = base_counts(docs, doc_id, text)
+    # Stored, as a filter on the verdict would else be pushed down and work out the counts again and again.
+    base = store(base_counts(docs, doc_id, text), "base")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("version"), words(F.col(text)).alias("w"))
     weights = store(ratios(docs, trusted, buckets, doc_id, text), "ratios")
     scores = (
