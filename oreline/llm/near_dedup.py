@@ -173,17 +173,27 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 
 def components(links: DataFrame, labels: DataFrame) -> DataFrame:
-    """labels (id, comp) after the links (a, b) are drawn: each id takes the least label among its neighbours, and the label of
-    its label, until nothing changes. Everything is kept in tables; one number reaches the driver per turn."""
-    edges = store(links.union(links.select("b", "a")).where("a <> b").distinct(), "edges")
+    """labels (id, comp) after the links (a, b) are drawn; a component's label is its least id.
+
+    Links are first moved to the components of their ends, so earlier ones need not be seen again. Each label takes the least of
+    its neighbours' labels, and then the label of its label, until nothing changes. Everything is
+    kept in tables; one flag reaches the driver per turn.
+    """
+    ends = links
+    for side in ("a", "b"):
+        to = labels.select(F.col("id").alias(side), F.col("comp").alias("to"))
+        ends = ends.join(to, side).drop(side).withColumnRenamed("to", side)
+    edges = store(ends.union(ends.select("b", "a")).where("a <> b").distinct(), "edges")
     while True:
-        of = labels.withColumnRenamed("id", "a").withColumnRenamed("comp", "theirs")
+        of = labels.select(F.col("id").alias("a"), F.col("comp").alias("theirs"))
         least = edges.join(of, "a").groupBy("b").agg(F.min("theirs").alias("least")).withColumnRenamed("b", "id")
-        near = labels.join(least, "id", "left").select("id", F.col("comp").alias("was"), F.least("comp", F.coalesce("least", "comp")).alias("comp"))
-        near = store(near, "near")
+        near = store(
+            labels.join(least, "id", "left").select("id", F.col("comp").alias("was"), F.least("comp", F.coalesce("least", "comp")).alias("comp")),
+            "near",
+        )
         jump = near.select(F.col("id").alias("comp"), F.col("comp").alias("next"))
         after = store(
-            near.join(jump, "comp", "left").select("id", F.least("comp", F.coalesce("next", "comp")).alias("comp"), "was"), "labels"
+            near.join(jump, "comp").select("id", F.least("comp", "next").alias("comp"), "was"), "labels"
         )
         labels = after.select("id", "comp")
         if not after.where("comp <> was").limit(1).count():
@@ -196,8 +206,8 @@ def near_duplicates(
 ) -> DataFrame:
     """Components of documents linked by 100 * intersection >= percent * union of their sets of ``size``-word shingles.
 
-    A pair at the threshold misses all ``trees * branches`` roots once in a million. Nodes of more than ``small``
-    classes branch for ``levels`` levels; what is left then is compared in blocks of that size, so no
+    A pair at the threshold misses all ``trees * branches`` roots once in a million. Nodes with more than ``small ** 2 / 2`` pairs
+    that are not connected branch for ``levels`` levels; what is left then is compared in blocks of that size, so no
     node is cut short. One row per input row: doc_id, n_shingles, component_id (smallest id reachable) and kept (the
     id is the component's). A null or wordless text has an empty set, is linked with nothing and kept. A null id comes after
     all others. Rows that share an id are documents of their own under one name. Other columns are not read. An empty
@@ -235,45 +245,48 @@ def near_duplicates(
     texts = rows.select(X.ranked("doc_id").alias("rank"), "text").join(active.select("rank", "sid"), "rank")
     texts = store(texts.select("sid", "text").mapInArrow(own, "sid long, text string").dropDuplicates(["sid"]), "texts")
 
-    links: DataFrame | None = None
-
     def known(members: DataFrame) -> DataFrame:
         """Members of nodes that hold several components, with the size of their node and its pivot."""
         info = active.select(F.col("sid").alias("id"), "n", "sketch")
         full = members.join(labels, "id")
-        apart = full.groupBy("node").agg(
-            F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("id").alias("pivot")
-        ).where("low < high").select("node", "size", "pivot")
+        apart = (
+            full.groupBy("node", "comp").agg(F.count("*").alias("own"), F.min("id").alias("pivot"))
+            .groupBy("node").agg(
+                F.sum("own").alias("size"), F.sum(F.col("own") * F.col("own")).alias("within"), F.count("*").alias("comps"),
+                F.min("pivot").alias("pivot"),
+            )
+            .where("comps > 1").withColumn("across", (F.col("size") * F.col("size") - F.col("within")) / 2)
+            .select("node", "size", "across", "pivot")
+        )
         return store(full.join(apart, "node").join(info, "id"), "known")
 
     def draw(pairs: DataFrame) -> None:
-        nonlocal links, labels
+        nonlocal labels
         found = store(_confirm(store(pairs.distinct(), "pairs"), texts, size, percent), "links")
         if found.limit(1).count():
-            links = found if links is None else links.union(found)
-            labels = components(links, labels)
+            labels = components(found, labels)
 
+    # A node is compared exhaustively if few pairs of it are not connected yet; its members are bounded, too.
+    few = (F.col("across") <= small * small / 2) & (F.col("size") <= 64 * small)
     for level in range(levels + 1):
-        # First a star in each node, then, where components remain apart, every pair between them.
-        for every in (False, True):
-            now = known(members)
-            if not now.limit(1).count():
-                break
-            pairs = now.where(F.col("size") <= small).groupBy("node").applyInArrow(_within(threshold, every), _PAIR)
-            large = now.where(F.col("size") > small)
-            if not every:
-                pivots = large.where("id = pivot").select(
-                    "node", F.col("sketch").alias("pivot_sketch"), F.col("n").alias("pivot_n"), F.col("comp").alias("pivot_comp")
-                )
-                pairs = pairs.union(large.where("id <> pivot").join(pivots, "node").mapInArrow(_to_pivot(threshold), _PAIR))
-            elif level == levels:
-                pairs = pairs.union(_blocks(large, small, threshold))
-            draw(pairs)
-        else:
-            if level < levels:
-                members = store(_branch(known(members).where(F.col("size") > small), texts, size), "members")
-                continue
-        break
+        now = known(members)
+        pivots = now.where("id = pivot").select(
+            "node", F.col("sketch").alias("pivot_sketch"), F.col("n").alias("pivot_n"), F.col("comp").alias("pivot_comp")
+        )
+        # First a star in each node, around its pivot where it is large.
+        large = now.where((F.col("size") > small) & (F.col("id") != F.col("pivot")))
+        draw(
+            now.where(F.col("size") <= small).groupBy("node").applyInArrow(_within(threshold, False), _PAIR)
+            .union(large.join(pivots, "node").mapInArrow(_to_pivot(threshold), _PAIR))
+        )
+        # Then, where components remain apart, every pair between them.
+        now = known(members)
+        pairs = now.where(few).groupBy("node").applyInArrow(_within(threshold, True), _PAIR)
+        draw(pairs.union(_blocks(now.where(~few), small, threshold)) if level == levels else pairs)
+        rest = now.where(~few)
+        if level == levels or not rest.limit(1).count():
+            break
+        members = store(_branch(rest, texts, size), "members")
 
     part = active.select("sid", F.col("rank")).join(labels.withColumnRenamed("id", "sid"), "sid")
     least = part.groupBy("comp").agg(F.min("rank").alias("component"))
