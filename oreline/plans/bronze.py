@@ -53,5 +53,7 @@ def report(load: DataFrame, table: SourceTable) -> DataFrame:
 
 
 def high_mark(load: DataFrame, table: SourceTable) -> str | None:
-    """The highest watermark of a stored load."""
-    return load.agg(F.max(table.watermark).alias("mark")).first()["mark"]
+    """The highest watermark of a stored load, as it is written; what is no time does not count."""
+    text = F.col(table.watermark).cast("string")
+    at = F.try_to_timestamp(text)
+    return load.where(at.isNotNull()).agg(F.max_by(text, at).alias("mark")).first()["mark"]

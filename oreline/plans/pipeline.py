@@ -62,9 +62,12 @@ class Run:
         return raw.check_files(self.spark, self.landing, expected)
 
     def bronze(self, name: str) -> DataFrame:
-        """Load one table; its mark moves only after the data and the report are stored."""
+        """Load one table; its mark moves only after the data and the report are stored.
+
+        A run that starts again begins at the mark of the runs before it, so it stores the same rows again.
+        """
         table, marks = TABLES[name], self.path("control", "marks")
-        mark = control.last_mark(self.spark, marks, name) if self.load_type == "incremental" else None
+        mark = control.last_mark(self.spark, marks, name, self.run_id) if self.load_type == "incremental" else None
         load = bronze.ingest(
             self.spark, f"{self.landing}/{table.file_name}", self.path("bronze", name), table,
             self.run_id, self.run_ts, self.load_type, mark, self.overlap,

@@ -26,13 +26,17 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def read_marks(spark: SparkSession, path: str) -> DataFrame:
-    """table, mark: the highest mark of every table."""
-    return _read(spark, path, MARK_SCHEMA).groupBy("table").agg(F.max("mark").alias("mark"))
+def read_marks(spark: SparkSession, path: str, without_run: str | None = None) -> DataFrame:
+    """table, mark: the highest mark of every table; ``without_run`` leaves out what that run has recorded."""
+    marks = _read(spark, path, MARK_SCHEMA)
+    if without_run is not None:
+        marks = marks.filter(F.col("run_id") != without_run)
+    at = F.try_to_timestamp(F.col("mark"))
+    return marks.where(at.isNotNull()).groupBy("table").agg(F.max_by("mark", at).alias("mark"))
 
 
-def last_mark(spark: SparkSession, path: str, table: str) -> str | None:
-    row = read_marks(spark, path).filter(F.col("table") == table).first()
+def last_mark(spark: SparkSession, path: str, table: str, without_run: str | None = None) -> str | None:
+    row = read_marks(spark, path, without_run).filter(F.col("table") == table).first()
     return row["mark"] if row else None
 
 

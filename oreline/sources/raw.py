@@ -100,17 +100,16 @@ def missing_files(spark: SparkSession, folder: str, expected: Iterable[str]) ->
 
 
 def newer_than(df: DataFrame, watermark: str, mark: str | None, overlap: str | None = None) -> DataFrame:
-    """Rows strictly above the mark; all rows when there is no mark yet.
+    """Rows strictly above the mark, and those whose watermark is NULL or no time; all rows when there is no mark yet.
 
     ``overlap``, such as "1 day", reads that much again below the mark for late rows; the dedup on
     the key makes the second read harmless.
     """
     if mark is None:
         return df
-    if overlap is None:
-        return df.filter(F.col(watermark) > F.lit(mark))
-    edge = F.expr(f"timestamp '{mark}' - interval {overlap}")
-    return df.filter(F.to_timestamp(F.col(watermark)) > edge)
+    edge = F.expr(f"timestamp '{mark}'" + (f" - interval {overlap}" if overlap else ""))
+    at = F.try_to_timestamp(F.col(watermark).cast("string"))
+    return df.filter((at > edge) | at.isNull())
 
 
 def load(

@@ -1,7 +1,8 @@
 """Files that arrive in a folder, read once each into bronze.
 
 The checkpoint of the stream is the high-water mark. Every micro-batch writes a directory named
-after its batch id, so a batch that runs again after a failure replaces its own rows.
+after the query and its batch id, so a batch that runs again after a failure replaces its own rows
+and no other stream's.
 """
 
 from __future__ import annotations
@@ -19,9 +20,9 @@ from oreline.sources.raw import MISSING, apply_types
 
 
 def read_stream(spark: SparkSession, folder: str, table: SourceTable, max_files: int | None = None) -> DataFrame:
-    """Typed rows of the CSV files in a folder, with ``_source_file``."""
+    """Typed rows of the CSV files in a folder, with ``_source_file``; a file with another header fails."""
     text = T.StructType([T.StructField(c, T.StringType()) for c in table.columns])
-    reader = spark.readStream.schema(text).option("header", True)
+    reader = spark.readStream.schema(text).option("header", True).option("enforceSchema", False)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     cells = [F.when(~F.col(c).isin(MISSING), F.col(c)).alias(c) for c in table.columns]
@@ -54,7 +55,8 @@ def ingest_available(
         rows = drop_repeats(rows, table, repeats_within)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        audited(batch, run_ts).write.mode("overwrite").parquet(f"{target}/load=stream-{batch_id}")
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        audited(batch, run_ts).write.mode("overwrite").parquet(f"{target}/load=stream-{query_id}-{batch_id}")
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()
