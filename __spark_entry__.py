@@ -159,7 +159,8 @@ def _stored(name: str) -> Query:
 def orphan_keys(spark: SparkSession, folder: str) -> DataFrame:
     lake = Lake(spark, folder)
     facts = [lake.table(n) for n in ("fact_admissions", "fact_billing", "fact_bed_occupancy")]
-    return gold.orphan_keys(*facts, lake.table("dim_patient"))
+    dimensions = [lake.table(n) for n in ("dim_patient", "dim_department", "dim_doctor", "dim_date")]
+    return gold.orphan_keys(*facts, *dimensions)
 
 
 def agg_monthly_admissions(spark: SparkSession, folder: str) -> DataFrame:

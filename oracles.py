@@ -412,8 +412,8 @@ def _secured(adm: str, bill: str, occ: str, departments: str) -> str:
 
 _MONTH_CELLS = ", ".join(f"max({{0}}) filter (month = {m}) as m{m:02d}" for m in range(1, 13))
 
-_HASH = "sha256(concat_ws('||', " + ", ".join(
-    f"coalesce({c}::varchar, '\\N')"
+_HASH = "sha256(concat(" + ", ".join(
+    f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '-1:')"
     for c in [
         "admission_id", "patient_id", "department", "doctor_name", "admission_type", "admission_date", "discharge_date",
         "length_of_stay", "bed_type", "diagnosis_primary", "discharge_status", "readmission_flag", "ward_number",
@@ -527,11 +527,16 @@ ORACLES: dict[str, str] = {
     "orphan_keys": _star(
         """
         select 'fact_admissions' as fact_table, 'dim_department' as dimension,
-               count(*) filter (department_key is null) as orphans from fact_admissions
-        union all select 'fact_admissions', 'dim_doctor', count(*) filter (doctor_key is null) from fact_admissions
-        union all select 'fact_admissions', 'dim_date', count(*) filter (admission_date_key is null) from fact_admissions
-        union all select 'fact_bed_occupancy', 'dim_department', count(*) filter (department_key is null) from fact_bed_occupancy
-        union all select 'fact_bed_occupancy', 'dim_date', count(*) filter (snapshot_date_key is null) from fact_bed_occupancy
+               count(*) as orphans from fact_admissions f
+                  where not exists (from dim_department d where d.department_key = f.department_key)
+        union all select 'fact_admissions', 'dim_doctor', count(*) from fact_admissions f
+                  where not exists (from dim_doctor d where d.doctor_key = f.doctor_key)
+        union all select 'fact_admissions', 'dim_date', count(*) from fact_admissions
+                  where not exists (from dim_date where date_key = admission_date_key)
+        union all select 'fact_bed_occupancy', 'dim_department', count(*) from fact_bed_occupancy f
+                  where not exists (from dim_department d where d.department_key = f.department_key)
+        union all select 'fact_bed_occupancy', 'dim_date', count(*) from fact_bed_occupancy
+                  where not exists (from dim_date where date_key = snapshot_date_key)
         union all select 'fact_admissions', 'dim_patient', count(*) from fact_admissions
                   where not exists (from dim_patient where patient_key = patient_id)
         union all select 'fact_billing', 'dim_patient', count(*) from fact_billing

@@ -8,13 +8,14 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_MARK = "\\N"
+NULL_MARK = "-1:"
 
 
 def record_hash(columns: Iterable[str]) -> Column:
-    """SHA-256 of the row content. NULL gets a mark of its own, so a shifted value cannot collide."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_MARK)) for c in columns]
-    return F.sha2(F.concat_ws("||", *parts), 256)
+    """SHA-256 of the row content. Each value follows its length, NULL has length -1, so no two rows share a text."""
+    values = [F.col(c).cast("string") for c in columns]
+    parts = [F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit(NULL_MARK)) for v in values]
+    return F.sha2(F.concat(*parts), 256)
 
 
 def add_audit(

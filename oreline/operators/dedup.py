@@ -36,11 +36,13 @@ def dedup(
 
 
 def survivor(
-    df: DataFrame, key: str, order_by: Sequence[str], tie_break: Iterable[str] | None = None, carry: Sequence[str] = ()
+    df: DataFrame, key: str, order_by: Sequence[str], tie_break: Iterable[str] | None = None, carry: Sequence[str] = (),
+    keep: str = "last",
 ) -> Column:
-    """The same choice as ``dedup(keep="last")`` as an aggregate: the largest struct in the order.
+    """The same choice as ``dedup`` as an aggregate: the largest (or smallest) struct in the order.
 
     ``carry`` names columns to read from the survivor besides those of the order.
     """
     ordered = order_columns([c for c in df.columns if c != key], order_by, tie_break)
-    return F.max(F.struct(*ordered, *[c for c in carry if c not in ordered]))
+    row = F.struct(*ordered, *[c for c in carry if c not in ordered])
+    return F.max(row) if keep == "last" else F.min(row)

@@ -18,6 +18,7 @@ def stage_counts(
     stages: Sequence[tuple[str, Column | None]],
     tie_break: Sequence[str] | None = None,
     reads: Sequence[str] = (),
+    keep: str = "last",
 ) -> DataFrame:
     """One row per stage: before, after, rows dropped since the start and by the stage itself.
 
@@ -25,7 +26,7 @@ def stage_counts(
     true. ``reads`` names the columns the conditions need. All counts come from one grouping by key, whose partial aggregates keep one candidate
     per key and map task.
     """
-    chosen = survivor(df, key, order_by, tie_break, reads)
+    chosen = survivor(df, key, order_by, tie_break, reads, keep)
     per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_copies"), chosen.alias("_row"))
     rows = per_key.select(key, "_copies", "_row.*")
 

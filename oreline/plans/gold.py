@@ -237,14 +237,14 @@ def agg_revenue_summary(fact: DataFrame) -> DataFrame:
     return revenue.withColumn("collection_rate", half_even(percent(kept, F.col("total_revenue")), 2))
 
 
-def orphan_keys(admissions: DataFrame, billing: DataFrame, occupancy: DataFrame, patients: DataFrame) -> DataFrame:
-    """Fact rows whose key finds no dimension row: fact_table, dimension, orphans."""
+def orphan_keys(
+    admissions: DataFrame, billing: DataFrame, occupancy: DataFrame, patients: DataFrame, departments: DataFrame,
+    doctors: DataFrame, days: DataFrame,
+) -> DataFrame:
+    """Fact rows whose key is NULL or finds no dimension row: fact_table, dimension, orphans.
 
-    def blank_keys(fact: DataFrame, name: str, keys: dict[str, str]) -> DataFrame:
-        counts = fact.agg(*[F.count_if(F.col(c).isNull()).alias(dim) for c, dim in keys.items()])
-        rows = [F.struct(F.lit(name).alias("fact_table"), F.lit(d).alias("dimension"), F.col(d).alias("orphans"))
-                for d in keys.values()]
-        return counts.select(F.inline(F.array(*rows)))
+    A day outside the stored calendar is an orphan of ``dim_date``.
+    """
 
     def unmatched(fact: DataFrame, name: str, column: str, dim: DataFrame, dim_key: str, label: str) -> DataFrame:
         # One row per key before the join, so that a hot key costs one row per map task.
@@ -256,16 +256,13 @@ def orphan_keys(admissions: DataFrame, billing: DataFrame, occupancy: DataFrame,
         )
 
     return (
-        blank_keys(
-            admissions, "fact_admissions",
-            {"department_key": "dim_department", "doctor_key": "dim_doctor", "admission_date_key": "dim_date"},
-        )
+        unmatched(admissions, "fact_admissions", "department_key", departments, "department_key", "dim_department")
+        .unionByName(unmatched(admissions, "fact_admissions", "doctor_key", doctors, "doctor_key", "dim_doctor"))
+        .unionByName(unmatched(admissions, "fact_admissions", "admission_date_key", days, "date_key", "dim_date"))
         .unionByName(
-            blank_keys(
-                occupancy, "fact_bed_occupancy",
-                {"department_key": "dim_department", "snapshot_date_key": "dim_date"},
-            )
+            unmatched(occupancy, "fact_bed_occupancy", "department_key", departments, "department_key", "dim_department")
         )
+        .unionByName(unmatched(occupancy, "fact_bed_occupancy", "snapshot_date_key", days, "date_key", "dim_date"))
         .unionByName(unmatched(admissions, "fact_admissions", "patient_id", patients, "patient_key", "dim_patient"))
         .unionByName(unmatched(billing, "fact_billing", "patient_id", patients, "patient_key", "dim_patient"))
         .unionByName(

@@ -84,13 +84,13 @@ class Run:
         if name == "patients":
             cleaned = silver.patients(everything, self.as_of, self.run_ts, self.keep, HASH)
             sinks.write_parquet(cleaned, target)
-            return silver.patient_stages(everything, HASH) if self.keep == "last" else None
+            return silver.patient_stages(everything, HASH, self.keep)
         if name == "admissions":
             return self._silver_admissions(everything, target)
         if name == "billing":
             sinks.write_parquet(silver.billing(everything, self.run_ts, self.keep, HASH), target)
             return stage_sizes(everything, name, [("dedup_bill_id", self.read("silver", name))])
-        sinks.write_parquet(silver.bed_occupancy(everything, self.run_ts), target)
+        sinks.write_parquet(silver.bed_occupancy(everything, self.run_ts, self.keep, HASH), target)
         return None
 
     def _silver_admissions(self, everything: DataFrame, target: str) -> DataFrame:
@@ -103,10 +103,10 @@ class Run:
         valid = staged.filter("outcome = 'valid'").drop("outcome")
         rejected = staged.filter("outcome = 'quarantined'").drop("outcome")
         sinks.write_parquet(silver.valid_admissions(valid, self.as_of, self.run_ts), target)
-        if not rejected.isEmpty():
-            sinks.write_parquet(
-                silver.quarantined_admissions(rejected), self.path("quarantine", f"admissions/load={self.run_id}")
-            )
+        # Like silver, the quarantine is rebuilt from all loads, so a rejected row is listed once.
+        quarantine = self.path("quarantine", "admissions")
+        if raw.stored(self.spark, quarantine) or not rejected.isEmpty():
+            sinks.write_parquet(silver.quarantined_admissions(rejected), quarantine)
         stages = [("dedup_admission_id", staged), ("valid_date_order", valid)]
         return stage_sizes(everything, "admissions", stages)
 

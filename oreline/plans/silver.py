@@ -147,10 +147,17 @@ def billing(
     return stamp_silver(cleaned, run_ts)
 
 
-def bed_occupancy(df: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+def bed_occupancy(
+    df: DataFrame,
+    run_ts: dt.datetime | None = None,
+    keep: str = "last",
+    tie_break: Sequence[str] | None = None,
+) -> DataFrame:
+    """A snapshot that is read again, by overlap or a second full load, counts once."""
     snapshot = F.col("snapshot_date")
     cleaned = (
-        df.withColumns(
+        _distinct_keys(df, "bed_occupancy", keep, tie_break)
+        .withColumns(
             {
                 # The same spelling as in admissions, so that both find their department.
                 "department": clean_title(F.col("department")),
@@ -171,12 +178,12 @@ def bed_occupancy(df: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame
     return stamp_silver(cleaned, run_ts)
 
 
-def patient_stages(df: DataFrame, tie_break: Sequence[str] | None = None) -> DataFrame:
+def patient_stages(df: DataFrame, tie_break: Sequence[str] | None = None, keep: str = "last") -> DataFrame:
     born = dates.parse_date(F.col("date_of_birth")).isNotNull()
     return stage_counts(
         df, "patients", "patient_id", [TABLES["patients"].watermark],
         [("dedup_patient_id", None), ("valid_dob", _valid_gender(F.col("gender")) & born)], tie_break,
-        ["gender", "date_of_birth"],
+        ["gender", "date_of_birth"], keep,
     )
 
 

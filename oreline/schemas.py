@@ -58,7 +58,6 @@ class SourceTable:
     columns: tuple[str, ...]
     key: str
     watermark: str
-    dedup: bool = True
 
     @property
     def schema(self) -> T.StructType:
@@ -78,6 +77,6 @@ TABLES: dict[str, SourceTable] = {
         SourceTable("patients", tuple(PATIENT_COLUMNS), "patient_id", "created_at"),
         SourceTable("admissions", tuple(ADMISSION_COLUMNS), "admission_id", "updated_at"),
         SourceTable("billing", tuple(BILLING_COLUMNS), "bill_id", "created_at"),
-        SourceTable("bed_occupancy", tuple(OCCUPANCY_COLUMNS), "occupancy_id", "created_at", dedup=False),
+        SourceTable("bed_occupancy", tuple(OCCUPANCY_COLUMNS), "occupancy_id", "created_at"),
     )
 }

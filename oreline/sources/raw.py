@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,17 @@ def scan_layer(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything below a path; only its listing is read."""
+    try:
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        return True
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def scan_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 

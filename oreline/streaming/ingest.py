@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from oreline.plans.bronze import audited
 from oreline.schemas import SourceTable
+from oreline.sources import raw
 from oreline.sources.raw import MISSING, apply_types
 
 
@@ -30,10 +31,21 @@ def read_stream(spark: SparkSession, folder: str, table: SourceTable, max_files:
     return apply_types(rows, table)
 
 
-def drop_repeats(df: DataFrame, table: SourceTable, within: str) -> DataFrame:
-    """Drop deliveries of a key that repeat within an event-time delay such as "1 day"."""
-    timed = df.withColumn("_event_time", F.to_timestamp(F.col(table.watermark)))
-    return timed.withWatermark("_event_time", within).dropDuplicatesWithinWatermark([table.key]).drop("_event_time")
+def drop_repeats(batch: DataFrame, target: str, load: str, within: str) -> DataFrame:
+    """Audited rows without those that repeat another in all source columns.
+
+    Rows are compared within the batch and with what other loads stored in ``target`` within a delay such as "1 day"
+    before the batch's own stamp. A late row or a new version of a key is no repeat. The batch's own ``load`` is left out, so a batch that
+    runs again stores the same rows.
+    """
+    once = batch.dropDuplicates(["_record_hash"])
+    spark = batch.sparkSession
+    if not raw.stored(spark, target):
+        return once
+    before = spark.read.schema("_record_hash string, _ingestion_timestamp timestamp, load string").parquet(target)
+    edge = once.agg(F.min("_ingestion_timestamp").alias("first")).select((F.col("first") - F.expr(f"interval {within}")).alias("edge"))
+    recent = before.filter((F.col("load") != load) & (F.col("_ingestion_timestamp") >= edge.scalar()))
+    return once.join(recent.select("_record_hash").distinct(), "_record_hash", "left_anti").select(*batch.columns)
 
 
 def ingest_available(
@@ -51,12 +63,14 @@ def ingest_available(
     ``max_files`` bounds the files of a micro-batch, not those of the query.
     """
     rows = read_stream(spark, folder, table, max_files)
-    if repeats_within is not None:
-        rows = drop_repeats(rows, table, repeats_within)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        audited(batch, run_ts).write.mode("overwrite").parquet(f"{target}/load=stream-{query_id}-{batch_id}")
+        load = f"stream-{query_id}-{batch_id}"
+        stamped = audited(batch, run_ts)
+        if repeats_within is not None:
+            stamped = drop_repeats(stamped, target, load, repeats_within)
+        stamped.write.mode("overwrite").parquet(f"{target}/load={load}")
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start()

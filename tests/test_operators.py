@@ -109,3 +109,10 @@ def test_dense_keys_against_a_plain_sort(spark, count):
     df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, at int").repartition(5)
     got = sorted((r["key"], r["name"], r["at"]) for r in dense_keys(df, "name", "key").collect())
     assert got == [(i, n, names.index(n)) for i, n in enumerate(sorted(names), 1)]
+
+
+def test_record_hash_tells_shifted_values_and_nulls_apart(spark):
+    rows = [("a||b", "c"), ("a", "b||c"), ("a", "\\N"), ("a", None), ("a", ""), ("a-1:", None), ("a", "-1:"), ("1:a", "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    hashes = [r[0] for r in df.select(audit.record_hash(["x", "y"])).collect()]
+    assert len(set(hashes)) == len(rows)

@@ -133,6 +133,29 @@ def test_first_version_on_request(spark, landing):
     assert b1["payment_status"] == "Partial" and float(b1["outstanding_amount"]) == 1000.0
 
 
+def test_stage_counts_follow_the_kept_version(spark, landing):
+    first_version = PATIENTS[0].replace("1980-05-01", "unknown").replace("2022-01-01", "2021-01-01")
+    drop(landing / "landing", "patients", [*PATIENTS, first_version])
+    for keep, valid in (("last", 2), ("first", 1)):
+        chosen = run(spark, landing, f"r-{keep}", keep=keep, load_type="full")
+        chosen.root = str(landing / keep)
+        chosen.bronze("patients")
+        counts = {r["stage"]: (r["before"], r["after"]) for r in chosen.silver("patients").collect()}
+        assert counts == {"dedup_patient_id": (5, 4), "valid_dob": (5, valid)}
+        assert chosen.read("silver", "patients").count() == valid
+
+
+def test_snapshots_and_rejects_of_two_full_loads_count_once(spark, landing):
+    for run_id in ("r1", "r2"):
+        full = run(spark, landing, run_id, load_type="full")
+        for name in ("bed_occupancy", "admissions"):
+            full.bronze(name)
+            full.silver(name)
+    assert full.read("bronze", "bed_occupancy").count() == 8
+    assert sorted(r["occupancy_id"] for r in full.read("silver", "bed_occupancy").collect()) == ["O1", "O2", "O4"]
+    assert [r["admission_id"] for r in full.read("quarantine", "admissions").collect()] == ["A3"]
+
+
 def test_selective_rebuild(spark, landing):
     first = run(spark, landing, "r1")
     first.all(rebuild_aggs=False)
@@ -217,3 +240,13 @@ def test_repeats_within_the_delay_are_dropped(spark, tmp_path):
     stream(spark, tmp_path, repeats_within="2 days")
     stored = spark.read.parquet(str(tmp_path / "bronze"))
     assert sorted(r["admission_id"] for r in stored.collect()) == ["A1", "A2", "A3"]
+
+
+def test_late_rows_and_new_versions_are_no_repeats(spark, tmp_path):
+    drop(tmp_path / "in", "admissions", ADMISSIONS[2:], "march.csv")
+    stream(spark, tmp_path, repeats_within="1 day")
+    changed = ADMISSIONS[2].replace("2024-03-01,", "2024-03-09,")
+    drop(tmp_path / "in", "admissions", [*ADMISSIONS[:2], changed], "january.csv")
+    stream(spark, tmp_path, repeats_within="1 day")
+    stored = spark.read.parquet(str(tmp_path / "bronze"))
+    assert sorted(r["admission_id"] for r in stored.collect()) == ["A1", "A2", "A3", "A3", "A4"]
