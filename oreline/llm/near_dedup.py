@@ -1,7 +1,8 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 Documents with equal shingle sets are one class. Each class chooses minwise shingles at the roots of independent trees and
-stands in a node for each. A node that is small is compared exhaustively; in a large one all are compared with one
+stands in a node for each. A node that is small is compared exhaustively: first a few partners of each member are confirmed, then,
+where a member has more, those that this left in other components. In a large node all are compared with one
 pivot, and what is still apart branches again by shingles chosen under the path. Comparisons in nodes use sketches that
 carry a margin of six standard errors; every pair they let through is confirmed on the full sets.
 Only pairs that are not connected yet are compared, so a group of copies ends its nodes as soon as it is
@@ -10,9 +11,11 @@ connected; no group is ever paired with itself.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from oreline.llm import exchange as X
@@ -21,7 +24,9 @@ from oreline.llm.shared import ship, store
 
 U = np.uint64
 #: Bins of a sketch: the least shingle of each bin, one byte of its hash; 0 is an empty bin.
-BINS = 128
+BINS = 512
+#: Partners that a member of a node is first compared with on full sets.
+_FEW = 8
 _DOCS = 256
 
 
@@ -62,7 +67,7 @@ def _sketches(hashes: np.ndarray, edges: np.ndarray) -> np.ndarray:
     of = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     salted = T.mix(hashes ^ U(0x5BF03635))
     order = np.lexsort((salted, of))
-    salted, bins = salted[order], (salted[order] >> U(57)).astype(np.int64)
+    salted, bins = salted[order], (salted[order] >> U(55)).astype(np.int64)
     place = of * BINS + bins
     first = np.ones(len(place), dtype=bool)
     first[1:] = place[1:] != place[:-1]
@@ -72,9 +77,12 @@ def _sketches(hashes: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 def _alike(one: np.ndarray, many: np.ndarray, n_one, n_many, threshold: float) -> np.ndarray:
     """Whether pairs of sketches may belong to sets that are alike, by sizes and by estimate."""
-    equal = ((one == many) & (one > 0)).sum(axis=-1)
-    used = np.maximum(((one > 0) | (many > 0)).sum(axis=-1), 1)
-    margin = 6 * np.sqrt(threshold * (1 - threshold) / used)
+    filled = (one | many) != 0
+    used = np.maximum(np.count_nonzero(filled, axis=-1), 1)
+    equal = np.count_nonzero((one == many) & filled, axis=-1)
+    # The bins sample the union of two alike sets without putting back, so the error falls as they cover it.
+    union = np.maximum((n_one + n_many) / (1 + threshold), used)
+    margin = 6 * np.sqrt(threshold * (1 - threshold) / used * np.maximum(1 - used / union, 0.01)) + 2 / used
     fits = np.minimum(n_one, n_many) >= threshold * np.maximum(n_one, n_many) - 1e-9
     return fits & (equal / used >= threshold - margin)
 
@@ -108,30 +116,41 @@ def _sign(docs: DataFrame, size: int, roots: int) -> DataFrame:
 
 
 _PAIR = "a long, b long"
+_FOUND = "a long, b long, cut boolean"
+
 
+def _found(pairs: list, node: int = 0, cut: list | None = None) -> pa.Table:
+    """Pairs of ids, and for members whose list was cut a row of the node and the id."""
+    a, b = (np.concatenate(x) for x in zip((np.zeros(0, np.int64),) * 2, *pairs))
+    more = np.array(cut or [], dtype=np.int64)
+    return pa.table({
+        "a": np.concatenate([a, np.full(len(more), node)]), "b": np.concatenate([b, more]),
+        "cut": np.concatenate([np.zeros(len(a), bool), np.ones(len(more), bool)]),
+    })
 
-def _pairs(found) -> pa.Table:
-    a, b = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found) if found else ((), ())))
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
+def _within(threshold: float, most: int | None):
+    """Pairs of a node's members with those before them, in the order of ids, that are in another component and may be alike.
 
-def _within(threshold: float, every: bool):
-    """Pairs of a small node that may be alike: all between different components, or a star around each first one."""
+    Of a member with more than ``most`` such partners the first ones are told and the member is named as cut. Only members
+    marked as ``look`` are compared with those before them.
+    """
 
     def compare(got: pa.Table) -> pa.Table:
         order = np.argsort(got.column("id").to_numpy(), kind="stable")
-        ids, n, comp = (got.column(c).to_numpy()[order] for c in ("id", "n", "comp"))
+        ids, n, comp, look = (got.column(c).to_numpy()[order] for c in ("id", "n", "comp", "look"))
         sketch = np.frombuffer(b"".join(got.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)[order]
-        free, found = np.ones(len(ids), dtype=bool), []
-        for k in range(len(ids) - 1):
-            if every or free[k]:
-                rest = np.arange(k + 1, len(ids))
-                rest = rest[(comp[rest] != comp[k]) & (every | free[rest])]
-                rest = rest[_alike(sketch[k], sketch[rest], n[k], n[rest], threshold)]
-                free[rest] = False
-                if len(rest):
-                    found.append((np.full(len(rest), ids[k]), ids[rest]))
-        return _pairs(found)
+        found, cut = [], []
+        for k in np.flatnonzero(look):
+            fits = (comp[:k] != comp[k]) & (n[:k] >= threshold * n[k] - 1e-9) & (n[k] >= threshold * n[:k] - 1e-9)
+            prior = np.flatnonzero(fits)
+            prior = prior[_alike(sketch[k], sketch[prior], n[k], n[prior], threshold)]
+            if most is not None and len(prior) > most:
+                cut.append(ids[k])
+                prior = prior[:most]
+            if len(prior):
+                found.append((np.full(len(prior), ids[k]), ids[prior]))
+        return _found(found, got.column("node")[0].as_py(), cut)
 
     return compare
 
@@ -145,7 +164,8 @@ def _to_pivot(threshold: float):
             pivot, n = batch.column("pivot_n").to_numpy(), batch.column("n").to_numpy()
             ok = _alike(one, two, pivot, n, threshold) & (batch.column("pivot_comp").to_numpy() != batch.column("comp").to_numpy())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(batch.column(c).to_numpy()[ok], pa.int64()) for c in ("pivot", "id")], names=["a", "b"]
+                [*(pa.array(batch.column(c).to_numpy()[ok], pa.int64()) for c in ("pivot", "id")), pa.array(np.zeros(ok.sum(), bool))],
+                names=["a", "b", "cut"],
             )
 
     return compare
@@ -159,10 +179,11 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
             ok = np.zeros(batch.num_rows, dtype=bool)
             for low in range(0, batch.num_rows, _DOCS):
                 part = batch.slice(low, _DOCS)
-                x, x_edges = shingle_sets(part.column("text_a"), size)
-                y, y_edges = shingle_sets(part.column("text_b"), size)
+                _, first, at = np.unique(np.concatenate([part.column(c).to_numpy() for c in ("a", "b")]), return_index=True, return_inverse=True)
+                both = pa.concat_arrays([part.column("text_a"), part.column("text_b")])
+                hashes, edges = shingle_sets(both.take(pa.array(first)), size)
                 for k in range(part.num_rows):
-                    one, two = x[x_edges[k] : x_edges[k + 1]], y[y_edges[k] : y_edges[k + 1]]
+                    one, two = (hashes[edges[i] : edges[i + 1]] for i in (at[k], at[part.num_rows + k]))
                     same = len(np.intersect1d(one, two, assume_unique=True))
                     ok[low + k] = 100 * same >= percent * (len(one) + len(two) - same)
             yield pa.RecordBatch.from_arrays([pa.array(batch.column(c).to_numpy()[ok]) for c in ("a", "b")], names=["a", "b"])
@@ -175,39 +196,48 @@ def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 def components(links: DataFrame, labels: DataFrame) -> DataFrame:
     """labels (id, comp) after the links (a, b) are drawn; a component's label is its least id.
 
-    Links are first moved to the components of their ends, so earlier ones need not be seen again. Each label takes the least of
-    its neighbours' labels, and then the label of its label, until nothing changes. Everything is
-    kept in tables; one flag reaches the driver per turn.
+    Links are first moved to the components of their ends, so earlier ones need not be seen again, and only components
+    that a link moves take part. Each takes the least of its neighbours' labels, and then the label of its label, until nothing
+    changes. Everything is kept in tables; one count reaches the driver per turn.
     """
     ends = links
     for side in ("a", "b"):
         to = labels.select(F.col("id").alias(side), F.col("comp").alias("to"))
         ends = ends.join(to, side).drop(side).withColumnRenamed("to", side)
-    edges = store(ends.union(ends.select("b", "a")).where("a <> b").distinct(), "edges")
-    while True:
-        of = labels.select(F.col("id").alias("a"), F.col("comp").alias("theirs"))
+    edges, moved = _counted(ends.union(ends.select("b", "a")).where("a <> b").distinct(), "edges", F.lit(True))
+    if not moved:
+        return labels
+    after = store(
+        edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("least")).select("id", F.least("id", "least").alias("comp")), "turn"
+    )
+    while moved:
+        of = after.select(F.col("id").alias("a"), F.col("comp").alias("theirs"))
         least = edges.join(of, "a").groupBy("b").agg(F.min("theirs").alias("least")).withColumnRenamed("b", "id")
-        near = store(
-            labels.join(least, "id", "left").select("id", F.col("comp").alias("was"), F.least("comp", F.coalesce("least", "comp")).alias("comp")),
-            "near",
-        )
+        near = after.join(least, "id").select("id", F.col("comp").alias("was"), F.least("comp", "least").alias("comp"))
         jump = near.select(F.col("id").alias("comp"), F.col("comp").alias("next"))
-        after = store(
-            near.join(jump, "comp").select("id", F.least("comp", "next").alias("comp"), "was"), "labels"
-        )
-        labels = after.select("id", "comp")
-        if not after.where("comp <> was").limit(1).count():
-            return labels
+        turn = near.join(jump, "comp").select("id", F.least("comp", "next").alias("comp"), "was")
+        after, moved = _counted(turn, "turn", F.col("comp") != F.col("was"))
+        after = after.select("id", "comp")
+    to = after.select(F.col("id").alias("comp"), F.col("comp").alias("to"))
+    return store(labels.join(to, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")), "labels")
+
+
+def _counted(df: DataFrame, name: str, condition) -> tuple[DataFrame, int]:
+    """The stored table, and for how many of its rows the condition holds, counted while it is written."""
+    seen = Observation()
+    table = store(df.observe(seen, F.count_if(condition).alias("n")), name)
+    return table, seen.get["n"]
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 75, size: int = 5, trees: int = 5, branches: int = 2, small: int = 256, levels: int = 3,
+    docs: DataFrame, percent: int = 75, size: int = 5, trees: int = 5, branches: int = 2, small: int = 8192, levels: int = 3,
     doc_id: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Components of documents linked by 100 * intersection >= percent * union of their sets of ``size``-word shingles.
 
-    A pair at the threshold misses all ``trees * branches`` roots once in a million. Nodes with more than ``small ** 2 / 2`` pairs
-    that are not connected branch for ``levels`` levels; what is left then is compared in blocks of that size, so no
+    A pair at the threshold misses all ``trees * branches`` roots once in a million. Nodes of more than ``small`` members
+    branch for ``levels`` levels (a branch shingles each text again, which costs about as much as so many comparisons of
+    sketches); what is left then is compared in blocks, so no
     node is cut short. One row per input row: doc_id, n_shingles, component_id (smallest id reachable) and kept (the
     id is the component's). A null or wordless text has an empty set, is linked with nothing and kept. A null id comes after
     all others. Rows that share an id are documents of their own under one name. Other columns are not read. An empty
@@ -245,48 +275,50 @@ def near_duplicates(
     texts = rows.select(X.ranked("doc_id").alias("rank"), "text").join(active.select("rank", "sid"), "rank")
     texts = store(texts.select("sid", "text").mapInArrow(own, "sid long, text string").dropDuplicates(["sid"]), "texts")
 
-    def known(members: DataFrame) -> DataFrame:
-        """Members of nodes that hold several components, with the size of their node and its pivot."""
+    def known(members: DataFrame) -> tuple[DataFrame, int]:
+        """Members of nodes that hold several components, with size and pivot of their node; how many are in large nodes."""
         info = active.select(F.col("sid").alias("id"), "n", "sketch")
         full = members.join(labels, "id")
         apart = (
-            full.groupBy("node", "comp").agg(F.count("*").alias("own"), F.min("id").alias("pivot"))
-            .groupBy("node").agg(
-                F.sum("own").alias("size"), F.sum(F.col("own") * F.col("own")).alias("within"), F.count("*").alias("comps"),
-                F.min("pivot").alias("pivot"),
-            )
-            .where("comps > 1").withColumn("across", (F.col("size") * F.col("size") - F.col("within")) / 2)
-            .select("node", "size", "across", "pivot")
-        )
-        return store(full.join(apart, "node").join(info, "id"), "known")
-
-    def draw(pairs: DataFrame) -> None:
-        nonlocal labels
-        found = store(_confirm(store(pairs.distinct(), "pairs"), texts, size, percent), "links")
-        if found.limit(1).count():
-            labels = components(found, labels)
-
-    # A node is compared exhaustively if few pairs of it are not connected yet; its members are bounded, too.
-    few = (F.col("across") <= small * small / 2) & (F.col("size") <= 64 * small)
-    for level in range(levels + 1):
-        now = known(members)
-        pivots = now.where("id = pivot").select(
-            "node", F.col("sketch").alias("pivot_sketch"), F.col("n").alias("pivot_n"), F.col("comp").alias("pivot_comp")
+            full.groupBy("node")
+            .agg(F.count("*").alias("size"), F.min("comp").alias("least"), F.max("comp").alias("last"), F.min("id").alias("pivot"))
+            .where("least <> last").drop("least", "last")
         )
-        # First a star in each node, around its pivot where it is large.
-        large = now.where((F.col("size") > small) & (F.col("id") != F.col("pivot")))
-        draw(
-            now.where(F.col("size") <= small).groupBy("node").applyInArrow(_within(threshold, False), _PAIR)
-            .union(large.join(pivots, "node").mapInArrow(_to_pivot(threshold), _PAIR))
-        )
-        # Then, where components remain apart, every pair between them.
-        now = known(members)
-        pairs = now.where(few).groupBy("node").applyInArrow(_within(threshold, True), _PAIR)
-        draw(pairs.union(_blocks(now.where(~few), small, threshold)) if level == levels else pairs)
-        rest = now.where(~few)
-        if level == levels or not rest.limit(1).count():
+        return _counted(full.join(apart, "node").join(info, "id"), "known", F.col("size") > small)
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return store(_confirm(pairs.select("a", "b").distinct(), texts, size, percent), "links")
+
+    waiting: list[DataFrame] = []
+    for level in range(levels + 2):
+        now, in_large = known(members.withColumn("look", F.lit(True)))
+        # First a few partners of each member, or the pivot of a large node, so that groups of copies become connected.
+        found = now.where(F.col("size") <= small).groupBy("node").applyInArrow(_within(threshold, _FEW), _FOUND)
+        if in_large:
+            pivots = now.where("id = pivot").select(
+                "node", F.col("sketch").alias("pivot_sketch"), F.col("n").alias("pivot_n"), F.col("comp").alias("pivot_comp")
+            )
+            large = now.where((F.col("size") > small) & (F.col("id") != F.col("pivot")))
+            found = found.union(large.join(pivots, "node").mapInArrow(_to_pivot(threshold), _FOUND))
+        found, cut = _counted(found, "pairs", F.col("cut"))
+        labels = components(confirmed(found.where(~F.col("cut"))), labels)
+        # Then, for members with more partners, all that are still in another component. These nodes are done: their links can wait.
+        if cut:
+            again = found.where("cut").select(F.col("a").alias("node"), F.col("b").alias("id"), F.lit(True).alias("look"))
+            mates = members.join(again.select("node").distinct(), "node", "left_semi").join(again, ["node", "id"], "left")
+            mates, _ = known(mates.withColumn("look", F.coalesce("look", F.lit(False))))
+            waiting.append(confirmed(mates.groupBy("node").applyInArrow(_within(threshold, None), _FOUND)))
+        if not in_large:
             break
-        members = store(_branch(rest, texts, size), "members")
+        rest, in_large = known(now.where(F.col("size") > small).select("node", "id"))
+        if not in_large:
+            members = rest.select("node", "id")
+        elif level < levels:
+            members = store(_branch(rest, texts, size), "members")
+        else:
+            members = _blocks(rest, small)
+    if waiting:
+        labels = components(reduce(DataFrame.union, waiting), labels)
 
     part = active.select("sid", F.col("rank")).join(labels.withColumnRenamed("id", "sid"), "sid")
     least = part.groupBy("comp").agg(F.min("rank").alias("component"))
@@ -323,12 +355,9 @@ def _branch(large: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return children.join(children.groupBy("node").count().where("count > 1").select("node"), "node")
 
 
-def _blocks(large: DataFrame, small: int, threshold: float) -> DataFrame:
-    """Pairs of nodes that no branching made small: each two blocks of members meet in a group of their own."""
-    count = F.ceil(F.col("size") / (small / 2)).cast("int")
+def _blocks(large: DataFrame, small: int) -> DataFrame:
+    """Nodes for what no branching made small: each two blocks of a node's members meet in one of their own."""
+    count = F.ceil(F.col("size") / (small / 4)).cast("int")
     placed = large.withColumn("blocks", count).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return (
-        met.withColumn("x", F.least("block", "other")).withColumn("y", F.greatest("block", "other"))
-        .groupBy("node", "x", "y").applyInArrow(_within(threshold, True), _PAIR)
-    )
+    return met.select(F.xxhash64("node", F.least("block", "other"), F.greatest("block", "other")).alias("node"), "id")
