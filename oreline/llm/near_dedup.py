@@ -27,6 +27,8 @@ U = np.uint64
 BINS = 512
 #: Partners that a member of a node is first compared with on full sets.
 _FEW = 8
+#: Sets of at most so many shingles are also kept whole, as 32-bit hashes.
+_WHOLE = 1024
 _DOCS = 256
 
 
@@ -133,18 +135,25 @@ def _within(threshold: float, most: int | None):
     """Pairs of a node's members with those before them, in the order of ids, that are in another component and may be alike.
 
     Of a member with more than ``most`` such partners the first ones are told and the member is named as cut. Only members
-    marked as ``look`` are compared with those before them.
+    marked as ``look`` are compared with those before them. Where ``whole`` sets are given, they decide instead of the sketches, with room
+    for two shingles that share a hash.
     """
 
     def compare(got: pa.Table) -> pa.Table:
         order = np.argsort(got.column("id").to_numpy(), kind="stable")
         ids, n, comp, look = (got.column(c).to_numpy()[order] for c in ("id", "n", "comp", "look"))
         sketch = np.frombuffer(b"".join(got.column("sketch").to_pylist()), np.uint8).reshape(-1, BINS)[order]
+        whole = [None] * len(ids)
+        if "whole" in got.column_names:
+            whole = [x and np.frombuffer(x, np.uint32) for x in got.column("whole").take(pa.array(order)).to_pylist()]
         found, cut = [], []
         for k in np.flatnonzero(look):
             fits = (comp[:k] != comp[k]) & (n[:k] >= threshold * n[k] - 1e-9) & (n[k] >= threshold * n[:k] - 1e-9)
             prior = np.flatnonzero(fits)
             prior = prior[_alike(sketch[k], sketch[prior], n[k], n[prior], threshold)]
+            if whole[k] is not None:
+                same = np.array([n[j] if whole[j] is None else len(np.intersect1d(whole[k], whole[j], True)) + 2 for j in prior], int)
+                prior = prior[same >= threshold * (n[k] + n[prior] - same) - 1e-9]
             if most is not None and len(prior) > most:
                 cut.append(ids[k])
                 prior = prior[:most]
@@ -263,17 +272,18 @@ def near_duplicates(
 
     def own(batches):
         for batch in batches:
-            keep = np.zeros(batch.num_rows, dtype=bool)
             for low in range(0, batch.num_rows, _DOCS):
-                hashes, edges = shingle_sets(batch.slice(low, _DOCS).column("text"), size)
+                part = batch.slice(low, _DOCS)
+                hashes, edges = shingle_sets(part.column("text"), size)
                 sums = np.concatenate([[U(0)], np.cumsum(T.mix(hashes ^ U(77)), dtype=U)])
-                sid = (sums[edges[1:]] - sums[edges[:-1]]).view(np.int64)
-                keep[low : low + len(sid)] = sid == batch.column("sid").to_numpy()[low : low + len(sid)]
-            yield batch.select(["sid", "text"]).filter(pa.array(keep))
+                keep = (sums[edges[1:]] - sums[edges[:-1]]).view(np.int64) == part.column("sid").to_numpy()
+                sets = [hashes[x:y] for x, y in zip(edges[:-1], edges[1:])]
+                whole = [np.unique((x >> U(32)).astype(np.uint32)).tobytes() if len(x) <= _WHOLE else None for x in sets]
+                yield part.select(["sid", "text"]).append_column("whole", pa.array(whole, pa.binary())).filter(pa.array(keep))
 
     # The text of each class: ids may repeat, so the set is looked at again.
     texts = rows.select(X.ranked("doc_id").alias("rank"), "text").join(active.select("rank", "sid"), "rank")
-    texts = store(texts.select("sid", "text").mapInArrow(own, "sid long, text string").dropDuplicates(["sid"]), "texts")
+    texts = store(texts.select("sid", "text").mapInArrow(own, "sid long, text string, whole binary").dropDuplicates(["sid"]), "texts")
 
     def known(members: DataFrame) -> tuple[DataFrame, int]:
         """Members of nodes that hold several components, with size and pivot of their node; how many are in large nodes."""
@@ -307,6 +317,7 @@ def near_duplicates(
             again = found.where("cut").select(F.col("a").alias("node"), F.col("b").alias("id"), F.lit(True).alias("look"))
             mates = members.join(again.select("node").distinct(), "node", "left_semi").join(again, ["node", "id"], "left")
             mates, _ = known(mates.withColumn("look", F.coalesce("look", F.lit(False))))
+            mates = mates.join(texts.select(F.col("sid").alias("id"), "whole"), "id")
             waiting.append(confirmed(mates.groupBy("node").applyInArrow(_within(threshold, None), _FOUND)))
         if not in_large:
             break
@@ -350,7 +361,7 @@ def _branch(large: DataFrame, texts: DataFrame, size: int) -> DataFrame:
                     child = T.mix(least ^ path).view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(child[taken]), pa.array(ids[taken])], names=["node", "id"])
 
-    told = large.select("node", "id").join(texts.withColumnRenamed("sid", "id"), "id")
+    told = large.select("node", "id").join(texts.select(F.col("sid").alias("id"), "text"), "id")
     children = told.select("node", "id", "text").mapInArrow(branch, "node long, id long")
     return children.join(children.groupBy("node").count().where("count > 1").select("node"), "node")
 

@@ -99,7 +99,7 @@ def test_line_dedup(spark, rows):
         assert by_row(got, "doc_id", "n_lines", "n_dropped", "kept") == want
 
 
-def test_near_dedup(spark, rows):
+def test_near_dedup(spark, rows, small=2):
     sets = []
     for _, t in rows:
         w = words((t or "").encode().lower().decode())
@@ -113,7 +113,20 @@ def test_near_dedup(spark, rows):
                 label[a] = label[b] = min(label[a], label[b])
                 changed = True
     want = Counter((i, len(s), c) for (i, _), s, c in zip(rows, sets, label))
-    assert by_row(near_dedup.near_duplicates(frame(spark, rows), small=2, levels=1), "doc_id", "n_shingles", "component_id") == want
+    assert by_row(near_dedup.near_duplicates(frame(spark, rows), small=small, levels=1), "doc_id", "n_shingles", "component_id") == want
+
+
+def test_near_dedup_of_many_partners(spark):
+    """Groups with more partners than are tried first, most at the edge of the threshold, in every order of links."""
+    pick = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(60):
+        words_ = list(base)
+        for at in pick.sample(range(120), pick.choice([1, 2, 3, 4, 9])):
+            words_[at] = f"x{pick.random()}"
+        texts.append(" ".join(words_))
+    test_near_dedup(spark, list(enumerate(texts)), small=8192)
 
 
 def test_quality_base(spark, rows):
