@@ -145,6 +145,27 @@ def test_quality_base(spark, rows):
     assert {r.doc_id for r in got.collect() if r.kept} >= set(range(1, 9))
 
 
+@pytest.mark.parametrize(("scale", "fewest"), [("sf0.001", 4), ("sf0.01", 25), ("sf0.1", 291)])
+def test_quality_at_every_size(spark, scale, fewest):
+    """Clean documents stay, labelled or not; the share of rejected ones is like that among the labelled, or less where data are thin."""
+    folder = f"/root/testdata/{scale}"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    got = quality.judge(spark.read.parquet(f"{folder}/documents.parquet"), labels.where("quality = 1"))
+    rows = got.where("not base_failed").join(labels.select("doc_id", "quality"), "doc_id", "left")
+    seen = Counter((r.quality, r.kept) for r in rows.select("quality", "kept").collect())
+    assert seen[1, True] and not seen[1, False]
+    assert seen[0, False] >= fewest
+    assert seen[None, False] <= 0.1 * (seen[None, False] + seen[None, True])
+
+
+def test_quality_of_a_trusted_document_is_not_its_own(spark):
+    """Words that only one document has say nothing about it, trusted or not; nor do those of its copies."""
+    own = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    docs = frame(spark, [(k, own(k)) for k in range(20)] + [(100 + k, own(k)) for k in range(20)])
+    got = quality.judge(docs, spark.createDataFrame([(k,) for k in range(0, 20, 2)], "doc_id long")).collect()
+    assert len(got) == 40 and all(abs(r.score) < 0.01 and r.kept for r in got)
+
+
 @pytest.mark.parametrize("bound", [100_000, 0])
 def test_decontamination(spark, rows, bound):
     text = dict(rows)[3]
