@@ -129,6 +129,24 @@ def test_near_dedup_of_many_partners(spark):
     test_near_dedup(spark, list(enumerate(texts)), small=8192)
 
 
+def test_near_dedup_branches_keep_pairs(spark):
+    """Of 300 pairs at the threshold in one node, three levels of branching lose hardly any (0.4 % by calculation)."""
+    texts = []
+    for k in range(300):
+        shared = [f"s{k}x{i}" for i in range(75)]
+        texts.append((2 * k, " ".join([*shared, *(f"a{k}x{i}" for i in range(12))])))
+        texts.append((2 * k + 1, " ".join([*shared, *(f"b{k}x{i}" for i in range(13))])))
+    texts = spark.createDataFrame(texts, "sid long, text string")
+    members = texts.selectExpr("7L AS node", "sid AS id")
+    for _ in range(3):
+        members = near_dedup._branch(members, texts, 1)
+    nodes = defaultdict(set)
+    for r in members.collect():
+        nodes[r.node].add(r.id)
+    met = {i // 2 for ids in nodes.values() for i in ids if i ^ 1 in ids}
+    assert 300 - len(met) <= 6
+
+
 def test_quality_base(spark, rows):
     want = Counter()
     for i, t in rows:
