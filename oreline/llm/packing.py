@@ -1,7 +1,7 @@
-"""Packing of tokenized documents by a configuration linear program over the histogram of lengths.
+"""Packing of tokenized documents by configurations over the histogram of lengths.
 
 Only the histogram, at most ``size`` numbers, reaches the driver. The program "use as few sequences as
-possible, each a configuration of lengths that fits" is solved by multiplicative weights: lengths
+possible, each a configuration of lengths that fits" is not solved, but followed greedily: lengths
 that lag behind the others gain value, a knapsack by dynamic programming prices the best configuration under the
 current values, and it is used as often as the pieces that are left allow. Steps are whole numbers; what they
 leave, fewer pieces of each length than fit one sequence, is packed best fit, longest first.
