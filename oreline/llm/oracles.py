@@ -106,4 +106,79 @@ select s.doc_id, len(words)::bigint as n_words, coalesce(len(ps), 0)::bigint as
 from split s left join lost l on s.doc_id = l.doc_id
 """
 
-ORACLES = {"op2_decontamination": OP2, "op4_line_dedup": OP4, "op5_warc_archive": OP5, "op7_near_dedup": OP7, "op9_substring_dedup": OP9}
+#: crc32 by its table of bytes, as integers of the low 32 bits.
+CRC_TABLE = """(select list(list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end, i::bigint) order by i) as t
+  from range(256) r(i))"""
+
+
+def crc32_of(text: str) -> str:
+    """crc32 of an ASCII text, given the column t of CRC_TABLE."""
+    return f"xor(4294967295::bigint, list_reduce(list_transform(string_split({text}, ''), lambda ch: ascii(ch)::bigint), " \
+        f"lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295::bigint))"
+
+
+def _edge(path: str, cost: str, letter: str) -> str:
+    return f"lpad((substr({path}, 1, 9)::bigint + {cost})::varchar, 9, '0') || substr({path}, 10) || '{letter}'"
+
+
+#: A path is its cost in nine digits and its letters; the least text is the cheapest path with the least letters.
+OP13 = f"""
+with recursive crc as {CRC_TABLE},
+damaged as (
+  select conv_id, turn, {crc32_of("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as fault,
+    coalesce(role, ' ') as role, coalesce(text, ' ') as text
+  from conversations, crc
+), changed as (
+  select conv_id, turn, case when fault = 4 then 'user' else role end as role,
+    case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case when fault = 3 then 2 else 1 end)) as copy
+  from damaged where fault <> 0
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as n,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again,
+    lag(substr(role, 1, 1)) over (partition by conv_id order by turn nulls first, role, text, copy) as before,
+    trim(text, {BLANKS}) as said, substr(role, 1, 1) as c
+  from changed
+), judged as (
+  select *, said = '' as blank, said <> '' and again as duplicate, said <> '' and not again and right(said, 1) not in ('.', '!', '?') as cut,
+    before is not null and before || c not in ('su', 'ua', 'au') as odd
+  from placed
+), sizes as (
+  select conv_id, max(turn) - min(turn) + 1 - count(distinct turn) as gaps, count(*) filter (where blank) as blank, count(*) filter (where duplicate) as duplicate,
+    count(*) filter (where cut) as truncated, count(*) filter (where odd) as illegal, max(n) as rows
+  from judged group by conv_id
+), paths as (
+  select conv_id, 0::bigint as n, '000000000' as p0, null::varchar as p1, '000000003I' as p2, '000000006II' as p3 from sizes
+  union all
+  select conv_id, n, p0, p1, least(q2, {_edge("p0", "3", "I")}, {_edge("p1", "3", "I")}, {_edge("q3", "3", "I")}) as p2,
+    least(q3, {_edge(f"least(q2, {_edge('p0', '3', 'I')}, {_edge('p1', '3', 'I')})", "3", "I")}) as p3
+  from (
+    select p.conv_id, j.n, {_edge("p0", "4", "D")} as p0, least({_edge("p1", "4", "D")}, case when k and c = 's' then {_edge("p0", "w", "K")} end) as p1,
+      least({_edge("p2", "4", "D")}, case when k then least({_edge("least(p0, p1, p3)", "3 + w", "R")}, case when c = 'u' then {_edge("least(p0, p1, p3)", "w", "K")} end) end) as q2,
+      least({_edge("p3", "4", "D")}, case when k then least({_edge("p2", "3 + w", "R")}, case when c = 'a' then {_edge("p2", "w", "K")} end) end) as q3
+    from paths p join (select conv_id, n, c, not (blank or duplicate) as k, case when cut then 3 else 0 end as w from judged) j
+      on p.conv_id is not distinct from j.conv_id and j.n = p.n + 1
+  )
+), best as (
+  select p.conv_id, least(p0, p3) as path from paths p join sizes s on p.conv_id is not distinct from s.conv_id and p.n = s.rows
+), letters as (
+  select conv_id, u.spot, u.letter, count(*) filter (where u.letter <> 'I') over w as n, count(*) filter (where u.letter <> 'D') over w as place
+  from best, unnest(string_split(substr(path, 10), '')) with ordinality as u(letter, spot) where substr(path, 10) <> ''
+  window w as (partition by conv_id order by u.spot)
+), turns as (
+  select l.conv_id, l.spot, l.letter, l.place, case when letter = 'K' then j.role end as role, case when letter = 'I' then '' else j.text end as text
+  from letters l join judged j on l.conv_id is not distinct from j.conv_id and j.n = greatest(l.n, 1) where letter <> 'D'
+), opened as (
+  select conv_id, max(case when place = 1 and letter = 'K' and substr(role, 1, 1) = 's' then 1 else 0 end) as s from turns group by conv_id
+), repaired as (
+  select t.conv_id, string_agg(coalesce(role, case when (place - s) % 2 = 1 then 'user' else 'assistant' end) || ':' || text, chr(10) order by place) as content
+  from turns t join opened o on t.conv_id is not distinct from o.conv_id group by t.conv_id
+)
+select i.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate,
+  coalesce(truncated, 0)::bigint as truncated, coalesce(illegal, 0)::bigint as illegal, coalesce(substr(path, 1, 9)::bigint, 0)::bigint as cost,
+  coalesce(substr(path, 10), '') as audit, sha256(coalesce(content, '')) as repaired_sha256
+from (select distinct conv_id from conversations) i left join sizes s on i.conv_id is not distinct from s.conv_id
+  left join best b on i.conv_id is not distinct from b.conv_id left join repaired r on i.conv_id is not distinct from r.conv_id
+"""
+
+ORACLES = {"op2_decontamination": OP2, "op4_line_dedup": OP4, "op5_warc_archive": OP5, "op7_near_dedup": OP7, "op9_substring_dedup": OP9, "op13_conversation_repair": OP13}

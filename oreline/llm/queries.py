@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreline.llm import (
+    conversation_repair,
     decontamination,
     language_id,
     line_dedup,
@@ -89,10 +90,15 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = conversation_repair.damaged(_read(spark, folder, "conversations"))
+    return conversation_repair.repair(rows, turns=False, absent="absent").select("conv_id", "verdict.*")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_decontamination, op3_quality_rules, op4_line_dedup, op5_warc_archive, op6_language_id, op7_near_dedup, op8_best_fit_packing, op9_substring_dedup,
-        op10_suffix_dedup,
+        op10_suffix_dedup, op13_conversation_repair,
     )
 }
