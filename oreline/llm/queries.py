@@ -15,6 +15,8 @@ from oreline.llm import (
     quality,
     substring_dedup,
     suffix_dedup,
+    token_alignment,
+    token_counts,
     toxicity,
     warc,
 )
@@ -27,11 +29,15 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
-    """The vocabulary file of the installed public tokenizers."""
+#: A text of more tokens is over the limit of the counting query.
+TOKEN_LIMIT = 4096
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the installed public tokenizers."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,6 +96,17 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    out = token_counts.token_counts(_read(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    out = token_alignment.align(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), digest=True)
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     rows = conversation_repair.damaged(_read(spark, folder, "conversations"))
     return conversation_repair.repair(rows, turns=False, absent="absent").select("conv_id", "verdict.*")
@@ -99,6 +116,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_decontamination, op3_quality_rules, op4_line_dedup, op5_warc_archive, op6_language_id, op7_near_dedup, op8_best_fit_packing, op9_substring_dedup,
-        op10_suffix_dedup, op13_conversation_repair,
+        op10_suffix_dedup, op11_token_counts, op12_token_alignment, op13_conversation_repair,
     )
 }
