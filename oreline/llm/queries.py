@@ -44,7 +44,7 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Learn from a bounded sample of the labelled documents, score all: doc_id, expected_severity, p_toxic, toxic."""
     docs = _read(spark, folder, "documents").select("doc_id", "text")
     labels = _read(spark, folder, "labels").select("doc_id", F.col("toxic").alias("grade"))
-    model = toxicity.fit(docs.join(labels, "doc_id"))
+    model = toxicity.fit(docs, labels)
     return toxicity.score(docs, model).withColumn("toxic", F.col("p_toxic") >= TOXIC_FROM)
 
 
