@@ -27,19 +27,20 @@ def add_audit(
 ) -> DataFrame:
     """Add the four audit columns; the hash covers ``columns`` only and so is stable over runs.
 
-    ``source_file`` defaults to the file each row was scanned from.
+    ``source_file`` defaults to the file each row was scanned from. A hash that the scan has taken over the text stays.
     """
     stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts).cast("timestamp")
     if source_file is None:
         source_file = F.col("_metadata.file_name")
     elif isinstance(source_file, str):
         source_file = F.lit(source_file)
+    digest = F.col("_record_hash") if "_record_hash" in df.columns else record_hash(columns)
     return df.select(
-        "*",
+        *[c for c in df.columns if c != "_record_hash"],
         stamp.alias("_ingestion_timestamp"),
         source_file.alias("_source_file"),
         F.lit(layer).alias("_layer"),
-        record_hash(columns).alias("_record_hash"),
+        digest.alias("_record_hash"),
     )
 
 

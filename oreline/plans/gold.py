@@ -49,10 +49,17 @@ OCCUPANCY_FACT = [
     "snapshot_quarter",
 ]
 
+# What bills carry of their admission beside the columns that measures and groupings read of them.
+BILLING_KEYED = [
+    "bill_id", "patient_id", "total_amount", "insurance_type", "insurance_amount", "patient_payable", "outstanding_amount", "payment_status", "revenue_tier",
+]
+ADMISSION_KEYS = ["department_key", "doctor_key", "admission_date_key", "admission_type", "los_category", "admission_year"]
+
 # The column each fact is stored by.
 PARTITIONS = {
     "fact_admissions": "admission_year",
     "fact_billing": "bill_year",
+    "fact_billing_keyed": "fact_admissions__admission_year",
     "fact_bed_occupancy": "snapshot_year",
 }
 
@@ -166,6 +173,18 @@ def fact_billing(silver_billing: DataFrame) -> DataFrame:
     return silver_billing.select(*BILLING_FACT)
 
 
+def fact_billing_keyed(fact_billing: DataFrame, fact_admissions: DataFrame) -> DataFrame:
+    """Bills with the keys of their admission, named fact_admissions__column; ``found`` is false for a bill without one.
+
+    The only join of the two large facts; queries over both read this table.
+    """
+    keys = fact_admissions.select(
+        "admission_id", *[F.col(c).alias(f"fact_admissions__{c}") for c in ADMISSION_KEYS], F.lit(True).alias("fact_admissions__found")
+    )
+    joined = fact_billing.select("admission_id", *BILLING_KEYED).join(keys, "admission_id", "left").drop("admission_id")
+    return joined.withColumn("fact_admissions__found", F.coalesce("fact_admissions__found", F.lit(False)))
+
+
 def fact_bed_occupancy(silver_occupancy: DataFrame, departments: DataFrame) -> DataFrame:
     keyed = _lookup(silver_occupancy, departments, "department", "department_name", "department_key")
     return keyed.withColumn("snapshot_date_key", dates.date_key(F.col("snapshot_date"))).select(*OCCUPANCY_FACT)

@@ -17,7 +17,7 @@ from oreline.plans import bronze, gold, silver
 from oreline.plans.star import Star
 from oreline.schemas import TABLES
 from oreline.session import fit_shuffles
-from oreline.sources import control, raw, sinks
+from oreline.sources import control, ledger, raw, sinks
 
 NAME = "layered_tables"
 HASH = ["_record_hash"]
@@ -64,19 +64,39 @@ class Run:
     def bronze(self, name: str) -> DataFrame:
         """Load one table; its mark moves only after the data and the report are stored.
 
-        A run that starts again begins at the mark of the runs before it, so it stores the same rows again.
+        The ledger fixes the mark a load starts from before it reads. A run that starts again reads from there, up to the mark it has
+        reached before, so it stores the same rows again whatever other runs have loaded since. Data of a run that the ledger does
+        not know is not overwritten.
         """
-        table, marks = TABLES[name], self.path("control", "marks")
-        mark = control.last_mark(self.spark, marks, name, self.run_id) if self.load_type == "incremental" else None
-        load = bronze.ingest(
-            self.spark, f"{self.landing}/{table.file_name}", self.path("bronze", name), table,
-            self.run_id, self.run_ts, self.load_type, mark, self.overlap,
+        table, ledger_path, target = TABLES[name], self.path("control", "loads"), self.path("bronze", name)
+        known = ledger.find(self.spark, ledger_path, name, self.run_id)
+        if known is None and raw.stored(self.spark, f"{target}/load={self.run_id}"):
+            raise ledger.ReplayError(f"{target} holds a load {self.run_id} that the ledger does not know")
+        load = ledger.begin(self.spark, ledger_path, name, self.run_id, self.load_type, self.run_ts, self.overlap)
+        stored, counts = bronze.ingest(
+            self.spark, f"{self.landing}/{table.file_name}", target, table, self.run_id, self.run_ts, load.load_type, load.start_mark,
+            load.overlap, load.end_mark if load.done else None, self._unmarked(name, load), load.rows,
         )
         report_path = self.path("reports", f"bronze/load={self.run_id}/{name}")
-        sinks.write_json(bronze.report(load, table), report_path)
-        control.advance_mark(self.spark, marks, name, bronze.high_mark(load, table), self.run_id, self.run_ts)
+        sinks.write_json(bronze.report(stored, table), report_path)
+        control.advance_mark(self.spark, self.path("control", "marks"), name, counts.mark, self.run_id, self.run_ts)
+        ledger.finish(self.spark, ledger_path, load, counts.mark, counts.rows, counts.without_mark, self.run_ts)
         return self.spark.read.json(report_path)
 
+    def _unmarked(self, name: str, load: ledger.Load) -> DataFrame | None:
+        """Hashes of rows without a usable watermark in earlier loads, where there are any."""
+        if load.start_mark is None:
+            return None
+        before = ledger.loads(self.spark, self.path("control", "loads")).where(
+            (F.col("table") == name) & (F.col("seq") < load.seq) & (F.col("without_mark") > 0)
+        )
+        paths = [f"{self.path('bronze', name)}/load={r.run_id}" for r in before.select("run_id").collect()]
+        if not paths:
+            return None
+        watermark = TABLES[name].watermark
+        stored = self.spark.read.schema(f"{watermark} string, _record_hash string").parquet(*paths)
+        return stored.where(F.try_to_timestamp(F.col(watermark)).isNull()).select("_record_hash").distinct()
+
     def silver(self, name: str) -> DataFrame | None:
         """Rebuild one silver table from all its loads; returns its stage counts."""
         everything = bronze.read_all(self.spark, self.path("bronze", name), TABLES[name])
@@ -125,6 +145,7 @@ class Run:
                 silver_of("admissions"), stored("dim_department"), stored("dim_doctor")
             ),
             "fact_billing": lambda: gold.fact_billing(silver_of("billing")),
+            "fact_billing_keyed": lambda: gold.fact_billing_keyed(stored("fact_billing"), stored("fact_admissions")),
             "fact_bed_occupancy": lambda: gold.fact_bed_occupancy(
                 silver_of("bed_occupancy"), stored("dim_department")
             ),

@@ -47,6 +47,9 @@ _TYPES: dict[str, T.DataType] = {
     "occupancy_rate": _D,
 }
 
+#: Cells and lines of a scan that did not fit.
+REJECTED, CORRUPT = "_rejected_cells", "_corrupt_record"
+EVIDENCE_COLUMNS = [REJECTED, CORRUPT]
 AUDIT_COLUMNS = ["_ingestion_timestamp", "_source_file", "_layer", "_record_hash"]
 
 

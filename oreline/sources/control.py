@@ -13,11 +13,11 @@ RUN_SCHEMA = "logged_at timestamp, pipeline string, status string, run_id string
 FAILURE_SCHEMA = "table string, stage string, error string, logged_at timestamp, run_id string"
 
 
-def _append(spark: SparkSession, path: str, row: tuple, schema: str) -> None:
+def append(spark: SparkSession, path: str, row: tuple, schema: str) -> None:
     spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -28,7 +28,7 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def read_marks(spark: SparkSession, path: str, without_run: str | None = None) -> DataFrame:
     """table, mark: the highest mark of every table; ``without_run`` leaves out what that run has recorded."""
-    marks = _read(spark, path, MARK_SCHEMA)
+    marks = read(spark, path, MARK_SCHEMA)
     if without_run is not None:
         marks = marks.filter(F.col("run_id") != without_run)
     at = F.try_to_timestamp(F.col("mark"))
@@ -45,22 +45,22 @@ def advance_mark(
 ) -> None:
     """Record a new mark; call it only after the data of the run is written."""
     if mark is not None:
-        _append(spark, path, (table, mark, run_id, now), MARK_SCHEMA)
+        append(spark, path, (table, mark, run_id, now), MARK_SCHEMA)
 
 
 def log_run(spark: SparkSession, path: str, pipeline: str, status: str, run_id: str, now: dt.datetime) -> None:
-    _append(spark, path, (now, pipeline, status, run_id), RUN_SCHEMA)
+    append(spark, path, (now, pipeline, status, run_id), RUN_SCHEMA)
 
 
 def log_failure(
     spark: SparkSession, path: str, table: str, stage: str, error: BaseException, run_id: str, now: dt.datetime
 ) -> None:
-    _append(spark, path, (table, stage, f"{type(error).__name__}: {error}", now, run_id), FAILURE_SCHEMA)
+    append(spark, path, (table, stage, f"{type(error).__name__}: {error}", now, run_id), FAILURE_SCHEMA)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, RUN_SCHEMA)
+    return read(spark, path, RUN_SCHEMA)
 
 
 def read_failures(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, FAILURE_SCHEMA)
+    return read(spark, path, FAILURE_SCHEMA)

@@ -7,8 +7,10 @@ from collections.abc import Iterable, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from oreline.schemas import SourceTable
+from oreline.operators.audit import record_hash
+from oreline.schemas import CORRUPT, REJECTED, SourceTable
 
 # Texts that a CSV cell may use for a missing value.
 MISSING = [
@@ -43,18 +45,21 @@ def conform(df: DataFrame, table: SourceTable) -> DataFrame:
     return df.withColumns({c: F.lit(None).cast(table.type_of(c)) for c in absent})
 
 
-def apply_types(df: DataFrame, table: SourceTable) -> DataFrame:
-    """Cast to the declared types; a cell that does not fit becomes NULL, unknown columns stay text."""
+def _typed(c: str, table: SourceTable) -> Column:
+    """The cell as its declared type, NULL where it does not fit; unknown columns stay text."""
+    kind = table.type_of(c).simpleString()
+    if c not in table.columns or kind == "string":
+        return F.col(c)
+    if kind != "int":
+        return F.col(c).try_cast(kind)
+    # Integers through double, so that one written as "3.0" is read as 3; 3.5 is none.
+    number = F.col(c).try_cast("double")
+    return F.when(number == F.floor(number), number.try_cast("int"))
 
-    def cast(c: str) -> Column:
-        kind = table.type_of(c).simpleString()
-        if c not in table.columns or kind == "string":
-            return F.col(c)
-        # Integers through double, so that one written as "3.0" is read as 3.
-        number = F.col(c).try_cast("double") if kind == "int" else F.col(c)
-        return number.try_cast(kind).alias(c)
 
-    return df.select(*[cast(c) for c in df.columns])
+def apply_types(df: DataFrame, table: SourceTable) -> DataFrame:
+    """Cast to the declared types; a cell that does not fit becomes NULL, unknown columns stay text."""
+    return df.select(*[_typed(c, table).alias(c) for c in df.columns])
 
 
 def scan_raw(spark: SparkSession, path: str | list[str], table: SourceTable) -> DataFrame:
@@ -62,6 +67,40 @@ def scan_raw(spark: SparkSession, path: str | list[str], table: SourceTable) ->
     return apply_types(scan_text(spark, path), table)
 
 
+def text_schema(columns: Iterable[str]) -> T.StructType:
+    """Text columns and the one for lines that do not parse."""
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, CORRUPT]])
+
+
+def with_evidence(lines: DataFrame, table: SourceTable) -> DataFrame:
+    """Typed columns of scanned text, and what the types or the parser could not take.
+
+    ``_rejected_cells`` maps a column to the text of its cell where that is not missing and does not fit the type, NULL when all fit.
+    ``_corrupt_record`` is the line where it has too many or too few cells. ``_record_hash`` covers the text as it was read, so two
+    rows that differ only in a rejected cell differ in their hash.
+    """
+    cells = [c for c in lines.columns if c not in (CORRUPT, "_source_file")]
+    digest = F.when(F.col(CORRUPT).isNull(), record_hash(cells)).otherwise(F.sha2(F.col(CORRUPT), 256))
+    read = lines.select(*[_cell(c).alias(c) for c in cells], CORRUPT, "_source_file", digest.alias("_record_hash"))
+    typed = [c for c in cells if c in table.columns and table.type_of(c).simpleString() != "string"]
+    lost = [
+        F.when(F.col(c).isNotNull() & _typed(c, table).isNull(), F.struct(F.lit(c).alias("key"), F.col(c).alias("value"))) for c in typed
+    ]
+    rejected = F.lit(None).cast("map<string,string>")
+    if lost:
+        found = F.filter(F.array(*lost), lambda e: e.isNotNull())
+        rejected = F.when(F.col(CORRUPT).isNull() & (F.size(found) > 0), F.map_from_entries(found))
+    return read.select(*[_typed(c, table).alias(c) for c in cells], rejected.alias(REJECTED), CORRUPT, "_source_file", "_record_hash")
+
+
+def scan_evident(spark: SparkSession, path: str | list[str], table: SourceTable) -> DataFrame:
+    """Typed scan of one source table that loses no cell: see ``with_evidence``."""
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    schema = text_schema(reader.csv(path).columns)
+    lines = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return with_evidence(lines.select(*schema.names, F.col("_metadata.file_name").alias("_source_file")), table)
+
+
 def scan_layer(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
@@ -111,25 +150,27 @@ def missing_files(spark: SparkSession, folder: str, expected: Iterable[str]) ->
     return wanted.join(manifest(spark, folder), "file_name", "left_anti")
 
 
-def newer_than(df: DataFrame, watermark: str, mark: str | None, overlap: str | None = None) -> DataFrame:
+def newer_than(
+    df: DataFrame, watermark: str, mark: str | None, overlap: str | None = None, until: str | None = None
+) -> DataFrame:
     """Rows strictly above the mark, and those whose watermark is NULL or no time; all rows when there is no mark yet.
 
     ``overlap``, such as "1 day", reads that much again below the mark for late rows; the dedup on
-    the key makes the second read harmless.
+    the key makes the second read harmless. ``until`` leaves out rows above a later mark.
     """
-    if mark is None:
-        return df
-    edge = F.expr(f"timestamp '{mark}'" + (f" - interval {overlap}" if overlap else ""))
     at = F.try_to_timestamp(F.col(watermark).cast("string"))
-    return df.filter((at > edge) | at.isNull())
+    if mark is not None:
+        edge = F.expr(f"timestamp '{mark}'" + (f" - interval {overlap}" if overlap else ""))
+        df = df.filter((at > edge) | at.isNull())
+    if until is not None:
+        df = df.filter((at <= F.lit(until).cast("timestamp")) | at.isNull())
+    return df
 
 
 def load(
-    df: DataFrame, table: SourceTable, load_type: str, mark: str | None, overlap: str | None = None
+    df: DataFrame, table: SourceTable, load_type: str, mark: str | None, overlap: str | None = None, until: str | None = None,
 ) -> DataFrame:
-    """``full`` takes every row, ``incremental`` the rows above the table's mark."""
+    """``full`` takes every row, ``incremental`` the rows above the table's mark; a replay of either ends at ``until``."""
     if load_type not in ("full", "incremental"):
         raise ValueError(f"load_type must be 'full' or 'incremental', not {load_type!r}")
-    if load_type == "full":
-        return df
-    return newer_than(df, table.watermark, mark, overlap)
+    return newer_than(df, table.watermark, None if load_type == "full" else mark, overlap, until)

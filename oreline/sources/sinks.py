@@ -41,5 +41,11 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
+def write_extract(df: DataFrame, path: str, quoted: bool = True) -> None:
+    """A source extract as CSV with header, cells as they are; without quotes a cell with a comma breaks its line."""
+    writer = df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    (writer if quoted else writer.option("quote", "\0").option("escape", "\0").option("emptyValue", "")).csv(path)
+
+
 def write_json(report: DataFrame, path: str) -> None:
     report.coalesce(1).write.mode("overwrite").json(path)

@@ -11,24 +11,22 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from oreline.plans.bronze import audited
-from oreline.schemas import SourceTable
+from oreline.schemas import CORRUPT, SourceTable
 from oreline.sources import raw
-from oreline.sources.raw import MISSING, apply_types
+from oreline.sources.raw import text_schema, with_evidence
 
 
 def read_stream(spark: SparkSession, folder: str, table: SourceTable, max_files: int | None = None) -> DataFrame:
-    """Typed rows of the CSV files in a folder, with ``_source_file``; a file with another header fails."""
-    text = T.StructType([T.StructField(c, T.StringType()) for c in table.columns])
-    reader = spark.readStream.schema(text).option("header", True).option("enforceSchema", False)
+    """Typed rows of the CSV files in a folder, with ``_source_file`` and what did not fit; a file with another header fails."""
+    schema = text_schema(table.columns)
+    reader = spark.readStream.schema(schema).option("header", True).option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    cells = [F.when(~F.col(c).isin(MISSING), F.col(c)).alias(c) for c in table.columns]
-    rows = reader.csv(folder).select(*cells, F.col("_metadata.file_name").alias("_source_file"))
-    return apply_types(rows, table)
+    lines = reader.csv(folder).select(*schema.names, F.col("_metadata.file_name").alias("_source_file"))
+    return with_evidence(lines, table)
 
 
 def drop_repeats(batch: DataFrame, target: str, load: str, within: str) -> DataFrame:

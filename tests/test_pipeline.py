@@ -7,7 +7,7 @@ from oreline.plans import silver
 from oreline.plans.measures import pick
 from oreline.plans.pipeline import Run
 from oreline.schemas import TABLES
-from oreline.sources import control
+from oreline.sources import control, ledger
 from oreline.streaming.ingest import ingest_available
 
 D = dt.date
@@ -125,6 +125,85 @@ def test_a_repeated_load_replaces_itself(spark, landing):
     assert once.read("bronze", "billing").count() == 3
 
 
+def bill(number, stamp):
+    return f"B{number},A1,P1,2024-01-05,100.00,35,25,30,10,Self-Pay,0,100,Paid,{stamp}"
+
+
+def bills_of(one, run_id=None):
+    df = one.read("bronze", "billing")
+    return sorted(r["bill_id"] for r in (df.where(f"load = '{run_id}'") if run_id else df).collect())
+
+
+@pytest.mark.parametrize("order", [["r1", "r2", "r1"], ["r1", "r2", "r3", "r2", "r1"]])
+def test_a_replay_reads_what_its_run_has_read(spark, tmp_path, order):
+    (tmp_path / "landing").mkdir()
+    stamps = {"r1": [1, 2], "r2": [3], "r3": [4, 5]}
+    seen, lines = set(), []
+    for run_id in order:
+        if run_id not in seen:
+            lines += [bill(n, f"2024-01-0{n}") for n in stamps[run_id]]
+            drop(tmp_path / "landing", "billing", lines)
+        seen.add(run_id)
+        one = run(spark, tmp_path, run_id)
+        one.bronze("billing")
+        for other in seen:
+            assert bills_of(one, other) == [f"B{n}" for n in stamps[other]]
+    marks = {r["run_id"]: (r["start_mark"], r["end_mark"], r["rows"]) for r in ledger.loads(spark, one.path("control", "loads")).collect()}
+    assert marks["r1"] == (None, "2024-01-02", 2) and marks["r2"] == ("2024-01-02", "2024-01-03", 1)
+
+
+def test_a_replay_never_loses_rows_of_its_load(spark, tmp_path):
+    """The source of an older run is gone: the stored load stays."""
+    drop(tmp_path / "landing", "billing", [bill(1, "2024-01-01"), bill(2, "2024-01-02")])
+    run(spark, tmp_path, "r1").bronze("billing")
+    drop(tmp_path / "landing", "billing", [bill(3, "2024-01-03")])
+    run(spark, tmp_path, "r2").bronze("billing")
+    again = run(spark, tmp_path, "r1")
+    with pytest.raises(ledger.ReplayError, match="2 rows"):
+        again.bronze("billing")
+    assert bills_of(again) == ["B1", "B2", "B3"]
+
+
+def test_a_load_that_was_lost_half_way_starts_where_it_began(spark, tmp_path, monkeypatch):
+    drop(tmp_path / "landing", "billing", [bill(1, "2024-01-01")])
+    run(spark, tmp_path, "r1").bronze("billing")
+    drop(tmp_path / "landing", "billing", [bill(1, "2024-01-01"), bill(2, "2024-01-02")])
+    broken = run(spark, tmp_path, "r2")
+    monkeypatch.setattr(ledger, "finish", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        broken.bronze("billing")
+    monkeypatch.undo()
+    drop(tmp_path / "landing", "billing", [bill(n, f"2024-01-0{n}") for n in (1, 2, 3)])
+    run(spark, tmp_path, "r3").bronze("billing")
+    again = run(spark, tmp_path, "r2")
+    again.bronze("billing")
+    # Without an end the replay reads all above its start; silver counts a bill of two loads once.
+    assert bills_of(again, "r2") == ["B2", "B3"] and bills_of(again, "r1") == ["B1"]
+    again.silver("billing")
+    assert again.read("silver", "billing").count() == 3
+
+
+def test_data_without_a_record_is_not_overwritten(spark, tmp_path):
+    drop(tmp_path / "landing", "billing", [bill(1, "2024-01-01")])
+    one = run(spark, tmp_path, "r1")
+    spark.range(3).write.parquet(one.path("bronze", "billing/load=r1"))
+    with pytest.raises(ledger.ReplayError, match="does not know"):
+        one.bronze("billing")
+    assert spark.read.parquet(one.path("bronze", "billing/load=r1")).count() == 3
+
+
+def test_rows_without_a_mark_are_loaded_once(spark, tmp_path):
+    lines = [bill(1, "2024-01-01"), bill(2, "unknown"), bill(3, "")]
+    drop(tmp_path / "landing", "billing", lines)
+    run(spark, tmp_path, "r1").bronze("billing")
+    drop(tmp_path / "landing", "billing", [*lines, bill(4, "2024-01-04"), bill(5, "unknown")])
+    second = run(spark, tmp_path, "r2")
+    second.bronze("billing")
+    assert bills_of(second, "r2") == ["B4", "B5"]
+    second.bronze("billing")
+    assert bills_of(second, "r2") == ["B4", "B5"] and bills_of(second, "r1") == ["B1", "B2", "B3"]
+
+
 def test_first_version_on_request(spark, landing):
     parity = run(spark, landing, "r1", keep="first", load_type="full")
     parity.bronze("billing")

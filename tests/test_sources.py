@@ -4,7 +4,7 @@ import pytest
 
 from oreline.plans import bronze
 from oreline.schemas import TABLES
-from oreline.sources import control, raw, sinks
+from oreline.sources import control, ledger, raw, sinks
 
 NOW = dt.datetime(2024, 5, 1)
 HEADER = ",".join(TABLES["bed_occupancy"].columns)
@@ -124,3 +124,94 @@ def test_a_run_does_not_see_its_own_mark(spark, tmp_path):
     control.advance_mark(spark, path, "t", "2024-01-05", "r2", dt.datetime(2024, 1, 5))
     assert control.last_mark(spark, path, "t", "r2") == "2024-01-01"
     assert control.last_mark(spark, path, "t", "r3") == "2024-01-05"
+
+
+# ---- scan with evidence -----------------------------------------------------------------------
+
+BILL_HEADER = ",".join(TABLES["billing"].columns)
+
+
+def test_cells_that_do_not_fit_stay_as_evidence(spark, tmp_path):
+    path = write(
+        tmp_path / "b.csv",
+        "B1,A1,P1,2024-01-05,10.00,1,2,3,4,Self-Pay,0,10,Paid,2024-01-05",
+        "B2,A1,P1,2024-01-05,n/k,1,2,x3,4,Self-Pay,0,,Paid,2024-01-05",
+        "B3,A1,P1,2024-01-05,11.00,1,2,3,4,Self-Pay,0,10,Paid,2024-01-05,more",
+        "B4,A1,P1",
+        "B5,A1,P1,2024-01-05,99999999999999999999.00,NA,2,3,4,Self-Pay,0,10,Paid,2024-01-05",
+        header=BILL_HEADER,
+    )
+    rows = {r["bill_id"]: r for r in raw.scan_evident(spark, path, TABLES["billing"]).collect()}
+    assert rows["B1"]["_rejected_cells"] is None and rows["B1"]["_corrupt_record"] is None
+    assert rows["B2"]["_rejected_cells"] == {"total_amount": "n/k", "procedure_charges": "x3"}
+    assert rows["B2"]["total_amount"] is None and rows["B2"]["patient_payable"] is None
+    assert rows["B5"]["_rejected_cells"] == {"total_amount": "99999999999999999999.00"}
+    for key in ("B3", "B4"):
+        assert rows[key]["_corrupt_record"].startswith(key) and rows[key]["_rejected_cells"] is None
+    assert len({r["_record_hash"] for r in rows.values()}) == 5
+
+
+def test_the_hash_sees_the_text_of_a_rejected_cell(spark, tmp_path):
+    path = write(
+        tmp_path / "o.csv", "O1,ICU,2024-01-01,many,9.0,1,90.0,2024-01-01", "O1,ICU,2024-01-01,lots,9.0,1,90.0,2024-01-01", "O1,ICU,2024-01-01,7.5,9,1,90.0,2024-01-01"
+    )
+    rows = raw.scan_evident(spark, path, TABLES["bed_occupancy"]).collect()
+    assert len({r["_record_hash"] for r in rows}) == 3 and {r["total_beds"] for r in rows} == {None} and {r["occupied_beds"] for r in rows} == {9}
+    assert sorted(r["_rejected_cells"]["total_beds"] for r in rows) == ["7.5", "lots", "many"]
+
+
+def test_the_report_counts_what_was_rejected(spark, tmp_path):
+    path = write(
+        tmp_path / "o.csv", "O1,ICU,2024-01-01,many,x,1,90.0,2024-01-01", "O1,ICU,2024-01-01,many,x,1,90.0,2024-01-01", "O2,ICU,2024-01-01,10,9,1,90.0,2024-01-01",
+        "O3,ICU,2024-01-01,10,9,1,90.0,2024-01-01,?",
+    )
+    load, counts = bronze.ingest(spark, path, str(tmp_path / "bronze"), TABLES["bed_occupancy"], "r1", NOW)
+    assert (counts.rows, counts.without_mark, counts.mark) == (4, 0, "2024-01-01")
+    report = bronze.report(load, TABLES["bed_occupancy"]).first()
+    assert (report["status"], report["row_count"], report["duplicate_rows"], report["corrupt_records"]) == ("WARN", 4, 1, 1)
+    assert report["rejected_cells"] == {"total_beds": 2, "occupied_beds": 2}
+    assert report["null_percentages"]["total_beds"] == 50.0 and report["column_count"] == 8
+    assert [r["occupancy_id"] for r in bronze.read_all(spark, str(tmp_path / "bronze"), TABLES["bed_occupancy"]).orderBy("occupancy_id").collect()] == ["O1", "O1", "O2"]
+    assert [r["_corrupt_record"][:2] for r in bronze.corrupt_records(spark, str(tmp_path / "bronze")).collect()] == ["O3"]
+
+
+def test_an_extract_comes_back_as_it_was(spark, tmp_path):
+    data = [("O1", " a b ", None), ("O2", "x,\"y\"", ""), ("O3", "NA", "z")]
+    df = spark.createDataFrame(data, "occupancy_id string, department string, snapshot_date string")
+    sinks.write_extract(df, str(tmp_path / "e.csv"))
+    got = raw.scan_evident(spark, str(tmp_path / "e.csv"), TABLES["bed_occupancy"]).collect()
+    assert {(r["occupancy_id"], r["department"], r["snapshot_date"]) for r in got} == {("O1", " a b ", None), ("O2", "x,\"y\"", None), ("O3", None, "z")}
+
+
+# ---- ledger of loads --------------------------------------------------------------------------
+
+
+def test_a_load_starts_at_the_finished_loads_and_keeps_its_start(spark, tmp_path):
+    path = str(tmp_path / "loads")
+    first = ledger.begin(spark, path, "t", "r1", "incremental", NOW)
+    assert (first.seq, first.start_mark, first.done) == (1, None, False)
+    # A second run begins before the first has ended, then both end.
+    second = ledger.begin(spark, path, "t", "r2", "incremental", NOW)
+    assert (second.seq, second.start_mark) == (2, None)
+    ledger.finish(spark, path, first, "2024-01-02", 2, 1, NOW)
+    ledger.finish(spark, path, second, None, 0, 0, NOW)
+    third = ledger.begin(spark, path, "t", "r3", "incremental", NOW)
+    assert (third.seq, third.start_mark) == (3, "2024-01-02")
+    ledger.finish(spark, path, third, "2024-01-09", 5, 0, NOW)
+    again = ledger.begin(spark, path, "t", "r1", "incremental", NOW)
+    assert (again.seq, again.start_mark, again.end_mark, again.rows) == (1, None, "2024-01-02", 2)
+    assert ledger.begin(spark, path, "t", "r4", "full", NOW).start_mark is None
+    assert ledger.begin(spark, path, "u", "r4", "incremental", NOW).start_mark is None
+    with pytest.raises(ledger.ReplayError, match="incremental"):
+        ledger.begin(spark, path, "t", "r1", "full", NOW)
+    # A record of the end that is written again counts once.
+    ledger.finish(spark, path, first, "2024-01-02", 2, 1, NOW + dt.timedelta(days=1))
+    got = {(r["table"], r["run_id"]): (r["rows"], r["without_mark"]) for r in ledger.loads(spark, path).collect()}
+    assert got[("t", "r1")] == (2, 1) and got[("t", "r4")] == (None, None) and len(got) == 5
+
+
+def test_replay_ends_at_its_mark(spark):
+    df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-03"), ("d", None)], "admission_id string, updated_at string")
+    ids = lambda *a, **k: sorted(r[0] for r in raw.load(df, TABLES["admissions"], *a, **k).select("admission_id").collect())
+    assert ids("incremental", "2024-01-01", until="2024-01-02") == ["b", "d"]
+    assert ids("full", None, until="2024-01-02") == ["a", "b", "d"]
