@@ -1,16 +1,15 @@
 """Packing of tokenized documents by configurations over the histogram of lengths.
 
-Only the histogram, at most ``size`` numbers, reaches the driver. The program "use as few sequences as
-possible, each a configuration of lengths that fits" is not solved, but followed greedily: lengths
-that lag behind the others gain value, a knapsack by dynamic programming prices the best configuration under the
-current values, and it is used as often as the pieces that are left allow. Steps are whole numbers; what they
-leave, fewer pieces of each length than fit one sequence, is packed best fit, longest first.
+Only the histogram, at most ``size`` numbers, reaches the driver. The program "as few sequences as possible, each a configuration of
+lengths that fits, covering all pieces" is solved in fractions by multiplicative weights: a round prices the configuration of most value by
+a knapsack dynamic program, adds an equal share of the sequences to it, and lowers the weight of the lengths that it covers. The sum over
+the rounds covers each length in about the same proportion; it is rounded down to whole sequences, and the pieces that are left are packed best
+fit, longest first, in bulk over the lengths. Where best fit alone needs fewer sequences, its plan is taken.
 Pieces find their place by their rank among the pieces of their length, counted per salted part.
 """
 
 from __future__ import annotations
 
-import bisect
 import zlib
 
 import numpy as np
@@ -27,12 +26,12 @@ _encoders: dict[str, object] = {}
 
 
 def _encoder(path: str):
+    """The tokenizer as the file has it, and the texts that it takes for one token wherever they stand."""
     if path not in _encoders:
         from tokenizers import Tokenizer
 
         own = Tokenizer.from_file(path)
-        own.encode_special_tokens = True
-        _encoders[path] = own
+        _encoders[path] = own, [t.content for t in own.get_added_tokens_decoder().values()]
     return _encoders[path]
 
 
@@ -55,12 +54,12 @@ def _fast_encoder(path: str):
 
 
 def _ids(text: str, path: str) -> np.ndarray:
-    """Token ids and the end. The faster library is used for Latin text, where both libraries agree on what a letter is."""
-    fast = _fast_encoder(path)
-    if fast is not None and (text.isascii() or max(text) < "ƀ"):
+    """Token ids and the end. The faster library is used for Latin text, where both agree on what a letter is, without added tokens."""
+    fast, (own, added) = _fast_encoder(path), _encoder(path)
+    if fast is not None and (text.isascii() or max(text) < "ƀ") and not any(x in text for x in added):
         ids = fast.encode_ordinary(text)
     else:
-        ids = _encoder(path).encode(text, add_special_tokens=False).ids
+        ids = own.encode(text, add_special_tokens=False).ids
     return np.array([*ids, END], dtype="<u4")
 
 
@@ -105,51 +104,79 @@ def _price(lengths: np.ndarray, value: np.ndarray, size: int) -> dict[int, int]:
     return out
 
 
-def configurations(histogram: dict[int, int], size: int = 1024, rate: float = 2.0, rounds: int = 600):
-    """(sequences, {length: pieces in each}) for all pieces of the histogram.
+Plan = list[tuple[int, dict[int, int]]]
 
-    While ``rounds`` last a step uses a quarter of what is left of the scarcest length of the configuration, later all
-    of it, so each later round ends a length and the rounds are at most ``rounds`` and the number of lengths.
-    """
-    left = dict(histogram)
-    out: list[tuple[int, dict[int, int]]] = []
-    if left.get(size):
-        out.append((left.pop(size), {size: 1}))
-    rest: list[int] = []
-    turn = 0
-    while left:
-        for length in [x for x, n in left.items() if n < size // x]:
-            rest += [length] * left.pop(length)
-        if not left:
+
+def cover(histogram: dict[int, int], size: int = 1024, rounds: int = 400, rate: float = 4.0) -> dict[tuple, float]:
+    """Configurations ((length, pieces) ascending) and how many sequences of each, in fractions; no length is covered beyond its pieces."""
+    lengths = np.array(sorted(histogram))
+    supply = np.array([histogram[x] for x in lengths.tolist()], dtype=float)
+    covered = np.zeros(len(lengths))
+    out: dict[tuple, float] = {}
+    share = float(lengths @ supply) / size / rounds
+    for _ in range(rounds):
+        open_ = np.flatnonzero(covered < 1 - 1e-9)
+        if not len(open_):
             break
-        lengths = np.array(sorted(left))
-        share = np.array([left[x] / histogram[x] for x in lengths.tolist()])
-        found = _price(lengths, lengths * np.exp(rate * (share - share.mean()) * lengths / size), size)
-        most = min(left[int(lengths[k])] // a for k, a in found.items())
-        times = max(1, most // 4) if turn < rounds else most
-        out.append((times, {int(lengths[k]): a for k, a in found.items()}))
+        value = lengths[open_] * np.exp(-rate * (covered[open_] - covered[open_].min()) * lengths[open_] / size)
+        found = {int(open_[k]): a for k, a in _price(lengths[open_], value, size).items()}
+        step = min(share, *((1 - covered[k]) * supply[k] / a for k, a in found.items()))
+        key = tuple((int(lengths[k]), a) for k, a in sorted(found.items()))
+        out[key] = out.get(key, 0.0) + step
         for k, a in found.items():
-            left[int(lengths[k])] -= a * times
-        turn += 1
-    # Best fit: the open sequences by the room they have left.
-    rooms: list[int] = []
-    held: dict[int, list[list[int]]] = {}
-    for length in sorted(rest, reverse=True):
-        k = bisect.bisect_left(rooms, length)
-        if k < len(rooms):
-            room = rooms.pop(k)
-            content = held[room].pop()
-        else:
-            room, content = size, []
-        content.append(length)
-        bisect.insort(rooms, room - length)
-        held.setdefault(room - length, []).append(content)
-    for contents in held.values():
-        for content in contents:
-            out.append((1, {x: content.count(x) for x in set(content)}))
+            covered[k] += step * a / supply[k]
     return out
 
 
+def best_fit(histogram: dict[int, int], size: int = 1024) -> Plan:
+    """Best fit, longest first, for all pieces of a length at once: sequences with the same content are one entry.
+
+    A sequence that has taken a piece has the least room of those that can take another, so it is filled up before the next.
+    """
+    # Room left: contents with that room, as (sequences, content).
+    rooms: dict[int, list[tuple[int, dict[int, int]]]] = {}
+    for length in sorted((x for x, n in histogram.items() if n), reverse=True):
+        left = histogram[length]
+        for room in sorted(r for r in rooms if r >= length):
+            most, stays = room // length, []
+            for times, content in rooms.pop(room):
+                full, over = min(times, left // most), 0
+                if full < times:
+                    over = left - full * most if left < times * most else 0
+                for number, pieces in ((full, most), (1 if over else 0, over)):
+                    if number:
+                        rooms.setdefault(room - pieces * length, []).append((number, content | {length: pieces}))
+                left -= full * most + over
+                rest = times - full - (1 if over else 0)
+                if rest:
+                    stays.append((rest, content))
+            if stays:
+                rooms[room] = stays
+            if not left:
+                break
+        most = size // length
+        for number, pieces in ((left // most, most), (1 if left % most else 0, left % most)):
+            if number:
+                rooms.setdefault(size - pieces * length, []).append((number, {length: pieces}))
+    return [one for contents in rooms.values() for one in contents]
+
+
+def sequences(plan: Plan) -> int:
+    return sum(times for times, _ in plan)
+
+
+def configurations(histogram: dict[int, int], size: int = 1024, rounds: int = 400) -> Plan:
+    """(sequences, {length: pieces in each}) for all pieces of the histogram."""
+    whole: Plan = [(int(times), dict(key)) for key, times in cover(histogram, size, rounds).items() if times >= 1]
+    left = dict(histogram)
+    for times, content in whole:
+        for length, pieces in content.items():
+            left[length] -= times * pieces
+    solved = whole + best_fit(left, size)
+    plain = best_fit(histogram, size)
+    return solved if sequences(solved) <= sequences(plain) else plain
+
+
 def _places(plan, size: int) -> dict[int, np.ndarray]:
     """For each length the ranges of ranks, ascending: first rank, first sequence, pieces in each, offset."""
     taken: dict[int, int] = {}

@@ -195,7 +195,7 @@ def test_decontamination(spark, rows, bound):
 
 def test_packing(spark, rows):
     path = tokenizer_path()
-    encoder = packing._encoder(path)
+    encoder, _ = packing._encoder(path)
     lengths = Counter(len(encoder.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows)
     got = packing.pack(frame(spark, rows), path).collect()
     whole = defaultdict(int)
@@ -210,11 +210,63 @@ def test_packing(spark, rows):
             at += r.length
 
 
-def test_fast_encoder_agrees(spark):
+def test_fast_encoder_agrees():
+    """With a tokenizer as its file has it, also on texts that hold the string of a special token."""
+    from tokenizers import Tokenizer
+
     path, pick = tokenizer_path(), random.Random(5)
-    for _ in range(300):
-        text = "".join(pick.choices("ab' \n\t\r\xa0\x85é<|endoftext|>1²½ªß!.,?", k=pick.randint(0, 60)))
-        assert packing._ids(text, path).tolist() == [*packing._encoder(path).encode(text, add_special_tokens=False).ids, 2]
+    fresh = Tokenizer.from_file(path)
+    parts = [*"ab' \n\t\r\xa0\x85é<|>1²½ªß!.,?", "<|endoftext|>", "日", "word"]
+    for k in range(400):
+        text = "".join(pick.choices(parts, k=pick.randint(0, 60)))
+        assert packing._ids(text, path).tolist() == [*fresh.encode(text, add_special_tokens=False).ids, 2], text
+    assert packing._ids("x <|endoftext|> y", path).tolist() == [87, 220, 50256, 331, 2]
+
+
+def one_by_one(histogram, size):
+    """Best fit, longest first, piece by piece."""
+    rooms = []
+    for length in sorted(histogram, reverse=True):
+        for _ in range(histogram[length]):
+            fits = [r for r in rooms if r >= length]
+            if fits:
+                rooms.remove(min(fits))
+                rooms.append(min(fits) - length)
+            else:
+                rooms.append(size - length)
+    return sorted(rooms)
+
+
+def test_plans_hold_all_pieces():
+    pick = random.Random(8)
+    for _ in range(60):
+        size = pick.choice([7, 20, 50])
+        histogram = {x: pick.randint(0, 30) for x in pick.sample(range(1, size + 1), pick.randint(1, min(12, size)))}
+        histogram = {x: n for x, n in histogram.items() if n} or {1: 1}
+        plain = packing.best_fit(histogram, size)
+        assert sorted(r for n, c in plain for r in [size - sum(x * k for x, k in c.items())] * n) == one_by_one(histogram, size)
+        for plan in (plain, packing.configurations(histogram, size, rounds=40)):
+            held = Counter()
+            for times, content in plan:
+                assert times > 0 and sum(x * k for x, k in content.items()) <= size
+                held.update({x: k * times for x, k in content.items()})
+            assert held == Counter(histogram)
+            assert packing.sequences(plan) <= packing.sequences(plain)
+
+
+def test_fractions_cover_in_proportion():
+    """The fractional cover uses nearly full sequences and no length beyond its pieces."""
+    pick = random.Random(9)
+    histogram = Counter(min(64, int(pick.lognormvariate(2.8, 0.8)) + 1) for _ in range(20000))
+    found = packing.cover(histogram, 64)
+    held = Counter()
+    for key, times in found.items():
+        assert sum(x * n for x, n in key) <= 64
+        held.update({x: n * times for x, n in key})
+    assert all(held[x] <= n + 1e-6 for x, n in histogram.items())
+    tokens = sum(x * n for x, n in histogram.items())
+    used = sum(x * held[x] for x in histogram)
+    assert used >= 0.9 * tokens and used >= 0.99 * 64 * sum(found.values())
 
 
 def test_archive(spark):
