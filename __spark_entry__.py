@@ -18,7 +18,7 @@ from oreline.functions.dates import parse_date  # noqa: E402
 from oreline.functions.numbers import half_even  # noqa: E402
 from oreline.operators.audit import add_audit  # noqa: E402
 from oreline.operators import profile  # noqa: E402
-from oreline.plans import gold, reports, silver  # noqa: E402
+from oreline.plans import gold, rehearsal, reports, silver  # noqa: E402
 from oreline.plans.lake import Lake  # noqa: E402
 from oreline.plans.measures import pick  # noqa: E402
 from oreline.plans.security import secure  # noqa: E402
@@ -69,10 +69,14 @@ def bronze_audit_hash(spark: SparkSession, folder: str) -> DataFrame:
     return audited.select("admission_id", "_source_file", "_layer", "_record_hash")
 
 
+def _reports(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored reports of all tables; one scan and one shuffle of each has made them."""
+    return profile.summary([Lake(spark, folder).table(f"report_{name}") for name in TABLES])
+
+
 def dq_profile(spark: SparkSession, folder: str) -> DataFrame:
     """One row per table; lists as joined text, NULL shares are in ``dq_null_pct``."""
-    reports_ = [profile.profile(bind(spark, folder, n), t.columns, n) for n, t in TABLES.items()]
-    return profile.summary(reports_).select(
+    return _reports(spark, folder).select(
         "table", "row_count", "column_count",
         F.array_join("missing_columns", ",").alias("missing_columns"),
         F.array_join("extra_columns", ",").alias("extra_columns"),
@@ -81,15 +85,11 @@ def dq_profile(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dq_null_pct(spark: SparkSession, folder: str) -> DataFrame:
-    parts = [
-        profile.null_percentages_long(bind(spark, folder, n)).withColumn("table", F.lit(n)) for n in TABLES
-    ]
-    return profile.summary(parts)
+    return profile.null_shares_of(_reports(spark, folder))
 
 
 def dq_high_null(spark: SparkSession, folder: str) -> DataFrame:
-    parts = [profile.high_null_columns(bind(spark, folder, n)).withColumn("table", F.lit(n)) for n in TABLES]
-    return profile.summary(parts)
+    return profile.high_nulls_of(_reports(spark, folder))
 
 
 def dq_duplicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -272,6 +272,8 @@ def _queries() -> dict[str, Query]:
         "dq_duplicates": dq_duplicates,
         "stage_metrics": stage_metrics,
         "incremental_admissions": incremental_admissions,
+        "pipeline_two_loads": rehearsal.two_loads,
+        "scan_evidence": rehearsal.evidence,
         "silver_patients": silver_patients,
         "silver_admissions": silver_admissions,
         "quarantine_admissions": quarantine_admissions,
@@ -323,6 +325,8 @@ def _queries() -> dict[str, Query]:
         "m_patients_by_gender": _measures(
             "total_unique_patients", "avg_patient_age", "female_patient_pct", by=("dim_patient.gender",)
         ),
+        "m_patients_ytd": _measures("total_unique_patients", "ytd_unique_patients", by=(MONTH,)),
+        "m_patients_rolling_12m": _measures("unique_patients_rolling_12m", by=(MONTH, DEPARTMENT)),
         "m_totals_rollup": m_totals_rollup,
         "m_emergency_override": _measures(
             "total_admissions", "emergency_rate_pct", by=("fact_admissions.admission_type",)

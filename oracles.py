@@ -191,7 +191,12 @@ dim_date as (
          (isodow(d) >= 6)::int as is_weekend, (day(d) = 1)::int as is_month_start, (d = last_day(d))::int as is_month_end
   from (select unnest(generate_series({0}, {1}, interval 1 day))::date as d))
 """
-_CALENDAR = _DIM_DATE.format("date '1995-01-01'", "date '2024-12-31'")
+_CALENDAR = """
+fact_days as (
+  select admission_date as day from silver_admissions union all select snapshot_date from silver_bed_occupancy),
+""" + _DIM_DATE.format(
+    "(select date_trunc('year', min(day))::date from fact_days)", "(select (date_trunc('year', max(day)) + interval 1 year - interval 1 day)::date from fact_days)"
+)
 
 _DIMS = """
 dim_patient as (
@@ -455,6 +460,51 @@ _BILL_DOUBLES = """* replace (
 _BILL_EXTRA = """, _calc_total::double as _calc_total, _amount_variance::double as _amount_variance,
   outstanding_amount::double as outstanding_amount"""
 
+_MARKS = {"patients": "created_at", "admissions": "updated_at", "billing": "created_at", "bed_occupancy": "created_at"}
+_KEYS = {"patients": "patient_id", "admissions": "admission_id", "billing": "bill_id", "bed_occupancy": "occupancy_id"}
+# Rows up to the cut are in the first load, the others in the second, which starts at the highest mark of the first.
+_TWO_LOADS = _RAW + ", drops as (" + " union all ".join(
+    f"""
+    select '{t}' as "table", {_MARKS[t]} as mark, {_KEYS[t]} as key, ({", ".join(f"{c}::varchar" for c in cs)})::varchar as content,
+      case when {_MARKS[t]}::timestamp <= timestamp '1998-06-30 12:00:00' then 'r1' else 'r2' end as load
+    from raw_{t}"""
+    for t, cs in _RAW_COLUMNS.items()
+) + """), sized as (
+  select "table", load, count(*) as rows, count(distinct key) as keys, count(distinct content) as distinct_rows,
+         min(mark) as first_mark, max(mark) as last_mark
+  from drops group by all
+), every as (
+  select t."table", l.load, l.seq from (select distinct "table" from drops) t, (select 'r1' as load, 1::bigint as seq union all select 'r2', 2) l
+)
+select e."table", e.load, e.seq, case when e.load = 'r2' then a.last_mark end as start_mark,
+       case when e.load = 'r1' then a.last_mark else coalesce(b.last_mark, a.last_mark) end as end_mark,
+       coalesce(s.rows, 0) as ledger_rows, coalesce(s.rows, 0) as rows, coalesce(s.keys, 0) as keys,
+       coalesce(s.distinct_rows, 0) as distinct_rows, s.first_mark, s.last_mark
+from every e
+left join sized s on s."table" = e."table" and s.load = e.load
+left join sized a on a."table" = e."table" and a.load = 'r1'
+left join sized b on b."table" = e."table" and b.load = 'r2'
+"""
+_EVIDENCE = _RAW + """, lines as (
+  select 'billing' as "table", bill % 101 = 0 as corrupt, bill % 97 = 0 as bad_1, 'total_amount' as name_1, bill % 89 = 0 as bad_2, 'misc_charges' as name_2
+  from (select substr(bill_id, 5)::bigint as bill from raw_billing)
+  union all
+  select 'bed_occupancy', false, day(snapshot_date::date) % 7 = 0, 'occupied_beds', day(snapshot_date::date) % 5 = 0, 'total_beds' from raw_bed_occupancy
+  union all
+  select 'patients', false, false, null, false, null from raw_patients
+), sizes as (
+  select "table", count(*) as row_count, count(*) filter (where corrupt) as corrupt_records, count(*) filter (where corrupt or bad_1 or bad_2) as wrong
+  from lines group by "table"
+), cells as (
+  select "table", name_1 as column_name, count(*) as rejected from lines where bad_1 and not corrupt group by all
+  union all
+  select "table", name_2, count(*) from lines where bad_2 and not corrupt group by all
+)
+select s."table", row_count, 0::bigint as duplicate_rows, corrupt_records, case when wrong > 0 then 'WARN' else 'PASS' end as status,
+       column_name, rejected
+from sizes s left join cells c on c."table" = s."table"
+"""
+
 ORACLES: dict[str, str] = {
     "bronze_audit_hash": _with(_ADMISSIONS)
     + f"""
@@ -491,6 +541,8 @@ ORACLES: dict[str, str] = {
     union all select 'admissions', 'dedup_admission_id', a0, a1, a0 - a1, a0 - a1 from n
     union all select 'admissions', 'valid_date_order', a0, a2, a0 - a2, a1 - a2 from n
     union all select 'billing', 'dedup_bill_id', b0, b1, b0 - b1, b0 - b1 from n""",
+    "pipeline_two_loads": _TWO_LOADS,
+    "scan_evidence": _EVIDENCE,
     "incremental_admissions": _with(_ADMISSIONS)
     + """
       select admission_id, admission_date, discharge_date, updated_at from raw_admissions
@@ -741,6 +793,25 @@ ORACLES: dict[str, str] = {
         from a left join e using (department_name) left join b using (department_name)
         """
     ),
+    "m_patients_ytd": _star(
+        _BY_MONTH_BOUNDS
+        + _periods(_YTD_RANGE, "count(distinct patient_id)", "adm", "people")
+        + """
+        , cur as (select year_month, count(distinct patient_id) as n from adm group by year_month)
+        select year_month, n as total_unique_patients, nullif(people.v, 0) as ytd_unique_patients
+        from months left join cur using (year_month) left join people using (year_month)
+        where n is not null or people.v > 0
+        """
+    ),
+    "m_patients_rolling_12m": _star(
+        f"""
+        , ends as (
+          select year_month, max(full_date) as hi from dim_date
+          where date_key in (select admission_date_key from fact_admissions) group by year_month)
+        select e.year_month, f.department_name, count(distinct f.patient_id) as unique_patients_rolling_12m from ends e
+        join adm f on f.full_date between {_rolling_start('e.hi', 12)} and e.hi group by all
+        """
+    ),
     "ti_ytd": _star(
         _BY_MONTH_BOUNDS
         + _periods(_YTD_RANGE, _COUNT, "adm", "ytd_a")

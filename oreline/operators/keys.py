@@ -1,4 +1,4 @@
-"""Dense surrogate keys over sorted distinct names, without a one-task sort."""
+"""Surrogate keys of names: dense over sorted distinct names without a one-task sort, and a registry in which they never move."""
 
 from __future__ import annotations
 
@@ -40,3 +40,17 @@ def dense_keys(names: DataFrame, name: str, key: str) -> DataFrame:
         .withColumn(key, (F.col("_rn") + F.col("_offset")).cast("int"))
         .select(key, *names.columns)
     )
+
+
+def register(names: DataFrame, known: DataFrame | None, name: str, key: str) -> DataFrame:
+    """Keys for the names that a registry does not know yet: dense in their order, after its highest key.
+
+    ``names`` holds distinct names, stored, as it is read more than once; NULL gets no key. ``known`` is the registry (key, name) or None.
+    The registry and what is returned are the new registry: no name that had a key gets another.
+    """
+    fresh = names.select(name).where(F.col(name).isNotNull())
+    if known is None:
+        return dense_keys(fresh, name, key)
+    fresh = fresh.join(known.select(name), name, "left_anti")
+    top = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).scalar()
+    return dense_keys(fresh, name, key).withColumn(key, (F.col(key) + top).cast("int"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -80,12 +81,20 @@ def _write(df: DataFrame, path: str, table: SourceTable) -> Counts:
     return Counts(found["rows"], found["without_mark"], found["top"]["mark"] if found["top"] else None)
 
 
-def read_all(spark: SparkSession, target: str, table: SourceTable) -> DataFrame:
-    """The records of all loads of a table; columns that only some loads have are NULL in the others.
+def read_loads(spark: SparkSession, target: str, loads: Sequence[str], table: SourceTable) -> DataFrame:
+    """The records of some loads of a table; columns that only some loads have are NULL in the others.
 
     Corrupt records have no reliable cells and stay in bronze; the report counts them.
     """
-    stored = raw.scan_layer(spark, target, merge_schema=True).drop("load")
+    return _records(spark.read.option("mergeSchema", True).parquet(*[f"{target}/load={name}" for name in loads]), table)
+
+
+def read_all(spark: SparkSession, target: str, table: SourceTable) -> DataFrame:
+    """The same of all loads."""
+    return _records(raw.scan_layer(spark, target, merge_schema=True).drop("load"), table)
+
+
+def _records(stored: DataFrame, table: SourceTable) -> DataFrame:
     if CORRUPT in stored.columns:
         stored = stored.where(F.col(CORRUPT).isNull())
     return raw.conform(stored.drop(*EVIDENCE_COLUMNS), table)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,7 +51,7 @@ OCCUPANCY_FACT = [
 
 # What bills carry of their admission beside the columns that measures and groupings read of them.
 BILLING_KEYED = [
-    "bill_id", "patient_id", "total_amount", "insurance_type", "insurance_amount", "patient_payable", "outstanding_amount", "payment_status", "revenue_tier",
+    "bill_id", "admission_id", "patient_id", "total_amount", "insurance_type", "insurance_amount", "patient_payable", "outstanding_amount", "payment_status", "revenue_tier",
 ]
 ADMISSION_KEYS = ["department_key", "doctor_key", "admission_date_key", "admission_type", "los_category", "admission_year"]
 
@@ -82,6 +82,12 @@ def years_of(days: DataFrame, column: str) -> DataFrame:
     return days.agg(first.alias("first"), last.alias("last"))
 
 
+def span_of_facts(silver_admissions: DataFrame, silver_occupancy: DataFrame) -> DataFrame:
+    """The whole years that hold the days of both facts, so that no fact falls outside the calendar."""
+    days = silver_admissions.select(F.col("admission_date").alias("day")).unionByName(silver_occupancy.select(F.col("snapshot_date").alias("day")))
+    return years_of(days, "day")
+
+
 def dim_date(span: DataFrame) -> DataFrame:
     day = F.col("full_date")
     quarter = quarter_label(F.quarter(day))
@@ -114,14 +120,18 @@ def department_info(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DEPARTMENT_INFO, "department_name string, specialty string, dept_type string")
 
 
-def dim_department(silver_admissions: DataFrame) -> DataFrame:
-    spark = silver_admissions.sparkSession
-    names = (
-        silver_admissions.select(F.col("department").alias("department_name"))
-        .filter(F.col("department_name").isNotNull())
-        .distinct()
-    )
-    keyed = dense_keys(names, "department_name", "department_key")
+def department_names(silver_admissions: DataFrame) -> DataFrame:
+    names = silver_admissions.select(F.col("department").alias("department_name"))
+    return names.filter(F.col("department_name").isNotNull()).distinct()
+
+
+def dim_department(names: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Departments by name, with their keys in a registry or numbered in order of their names.
+
+    ``names`` should be stored: numbering reads them more than once.
+    """
+    spark = names.sparkSession
+    keyed = dense_keys(names, "department_name", "department_key") if keys is None else names.join(keys, "department_name")
     # Ten fixed rows.
     info = F.broadcast(department_info(spark))
     return keyed.join(info, "department_name", "left").select(
@@ -132,7 +142,7 @@ def dim_department(silver_admissions: DataFrame) -> DataFrame:
     )
 
 
-def dim_doctor(silver_admissions: DataFrame) -> DataFrame:
+def doctor_names(silver_admissions: DataFrame) -> DataFrame:
     """Doctors with the department they admit to most; the first name wins a tie.
 
     Counting per doctor and department first leaves one row per pair for the second grouping.
@@ -144,8 +154,14 @@ def dim_doctor(silver_admissions: DataFrame) -> DataFrame:
     )
     # NULL is no department: it must not win, but its doctor stays.
     ranked = F.when(F.col("department").isNotNull(), F.struct((-F.col("n")).alias("n"), "department"))
-    doctors = pairs.groupBy("doctor_name").agg(F.min(ranked)["department"].alias("primary_department"))
-    return dense_keys(doctors, "doctor_name", "doctor_key")
+    return pairs.groupBy("doctor_name").agg(F.min(ranked)["department"].alias("primary_department"))
+
+
+def dim_doctor(doctors: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """Doctors by name, with their keys in a registry or numbered in order of their names; ``doctors`` as for ``dim_department``."""
+    if keys is None:
+        return dense_keys(doctors, "doctor_name", "doctor_key")
+    return doctors.join(keys, "doctor_name").select("doctor_key", *doctors.columns)
 
 
 def _lookup(fact: DataFrame, dim: DataFrame, fact_column: str, dim_column: str, key: str) -> DataFrame:
@@ -179,9 +195,9 @@ def fact_billing_keyed(fact_billing: DataFrame, fact_admissions: DataFrame) -> D
     The only join of the two large facts; queries over both read this table.
     """
     keys = fact_admissions.select(
-        "admission_id", *[F.col(c).alias(f"fact_admissions__{c}") for c in ADMISSION_KEYS], F.lit(True).alias("fact_admissions__found")
+        F.col("admission_id").alias("_admission"), *[F.col(c).alias(f"fact_admissions__{c}") for c in ADMISSION_KEYS], F.lit(True).alias("fact_admissions__found")
     )
-    joined = fact_billing.select("admission_id", *BILLING_KEYED).join(keys, "admission_id", "left").drop("admission_id")
+    joined = fact_billing.select(*BILLING_KEYED).join(keys, F.col("admission_id") == F.col("_admission"), "left").drop("_admission")
     return joined.withColumn("fact_admissions__found", F.coalesce("fact_admissions__found", F.lit(False)))
 
 
@@ -190,6 +206,31 @@ def fact_bed_occupancy(silver_occupancy: DataFrame, departments: DataFrame) -> D
     return keyed.withColumn("snapshot_date_key", dates.date_key(F.col("snapshot_date"))).select(*OCCUPANCY_FACT)
 
 
+def patient_numbers(names: DataFrame) -> DataFrame:
+    """Patients of admissions by number from 1; ``names`` (patient_id, distinct and stored) as for ``dim_department``."""
+    return dense_keys(names.where(F.col("patient_id").isNotNull()), "patient_id", "patient_number")
+
+
+def month_of(date_key: Column) -> Column:
+    return F.floor(date_key / 100).cast("int")
+
+
+def patient_bits(rows: DataFrame, numbers: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Bitmaps of the patients (column patient_id) of each group: by, bucket (of 32,768 numbers), patients. A NULL patient has number 0."""
+    known = numbers.select(F.col("patient_id").alias("_patient"), "patient_number")
+    number = F.coalesce("patient_number", F.lit(0)).cast("long")
+    numbered = rows.join(known, F.col("patient_id") == F.col("_patient"), "left").select(*by, number.alias("_number"))
+    place = F.bitmap_bit_position("_number")
+    return numbered.groupBy(*by, F.bitmap_bucket_number("_number").alias("bucket")).agg(F.bitmap_construct_agg(place).alias("patients"))
+
+
+def patient_months(fact: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Patients of each month and department as bitmaps, so that distinct counts over months are merges of bits."""
+    by = ["month", "department_key"]
+    pairs = fact.select(month_of(F.col("admission_date_key")).alias("month"), "department_key", "patient_id").distinct()
+    return patient_bits(pairs, numbers, by)
+
+
 def _total(column: str) -> Column:
     """Sum that is 0 when every value is NULL."""
     return F.coalesce(F.sum(column), F.lit(0))

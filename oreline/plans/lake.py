@@ -12,12 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from oreline.operators.profile import profile
 from oreline.plans import gold, silver
-from oreline.plans.star import TABLE_NAMES, Star
+from oreline.plans.star import COMPANIONS, PATIENT_BITS, TABLE_NAMES, Star
+from oreline.schemas import TABLES
 from oreline.session import shared_folder
-from oreline.sources.binding import AS_OF, CALENDAR, bind
+from oreline.sources.binding import AS_OF, bind
 from oreline.sources.sinks import write_parquet
 
+# What a star reads.
+STORED = [*TABLE_NAMES, *COMPANIONS.values(), *PATIENT_BITS]
 # Schemas of the stored tables by path.
 _written: dict[str, T.StructType] = {}
 
@@ -34,19 +38,27 @@ class Lake:
         def raw(name: str) -> DataFrame:
             return bind(self.spark, self.folder, name)
 
-        return {
+        reports = {f"report_{n}": lambda n=n, t=t: profile(raw(n), t.columns, n) for n, t in TABLES.items()}
+        return reports | {
             "silver_patients": lambda: silver.patients(raw("patients"), AS_OF),
             "silver_admissions": lambda: silver.admissions(raw("admissions"), AS_OF)[0],
             "silver_billing": lambda: silver.billing(raw("billing")),
             "silver_bed_occupancy": lambda: silver.bed_occupancy(raw("bed_occupancy")),
-            "dim_date": lambda: gold.dim_date(gold.fixed_span(self.spark, *CALENDAR)),
+            "dim_date": lambda: gold.dim_date(gold.span_of_facts(self.table("silver_admissions"), self.table("silver_bed_occupancy"))),
             "dim_patient": lambda: gold.dim_patient(self.table("silver_patients")),
-            "dim_department": lambda: gold.dim_department(self.table("silver_admissions")),
-            "dim_doctor": lambda: gold.dim_doctor(self.table("silver_admissions")),
+            # Numbering reads the names more than once, so they are stored first.
+            "names_department": lambda: gold.department_names(self.table("silver_admissions")),
+            "names_doctor": lambda: gold.doctor_names(self.table("silver_admissions")),
+            "dim_department": lambda: gold.dim_department(self.table("names_department")),
+            "dim_doctor": lambda: gold.dim_doctor(self.table("names_doctor")),
             "fact_admissions": lambda: gold.fact_admissions(
                 self.table("silver_admissions"), self.table("dim_department"), self.table("dim_doctor")
             ),
             "fact_billing": lambda: gold.fact_billing(self.table("silver_billing")),
+            "fact_billing_keyed": lambda: gold.fact_billing_keyed(self.table("fact_billing"), self.table("fact_admissions")),
+            "names_patient": lambda: self.table("fact_admissions").select("patient_id").distinct(),
+            "patient_numbers": lambda: gold.patient_numbers(self.table("names_patient")),
+            "patient_months": lambda: gold.patient_months(self.table("fact_admissions"), self.table("patient_numbers")),
             "fact_bed_occupancy": lambda: gold.fact_bed_occupancy(
                 self.table("silver_bed_occupancy"), self.table("dim_department")
             ),
@@ -76,7 +88,7 @@ class _TablesOf(dict):
         self._lake = lake
 
     def __missing__(self, name: str) -> DataFrame:
-        if name not in TABLE_NAMES:
+        if name not in STORED:
             raise KeyError(name)
         self[name] = self._lake.table(name)
         return self[name]

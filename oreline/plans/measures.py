@@ -151,6 +151,12 @@ MEASURES: dict[str, Measure] = {
     "female_patient_pct": Measure(lambda v: percent(v(WOMEN), v(PEOPLE))),
 }
 
+# Distinct patients over calendar periods, beside the measures of the model.
+MEASURES |= {
+    "ytd_unique_patients": Measure(lambda v: v(replace(PEOPLE, period="ytd"))),
+    "unique_patients_rolling_12m": Measure(lambda v: v(replace(PEOPLE, period="rolling_12"))),
+}
+
 
 def pick(*names: str) -> dict[str, Measure]:
     return {name: MEASURES[name] for name in names}

@@ -54,15 +54,21 @@ def secure(star: Star, roles: Sequence[str], user: str | Column) -> Star:
         for fact in ("fact_admissions", "fact_bed_occupancy"):
             tables[fact] = star.tables[fact].join(keys, "department_key", "left_semi")
 
+    keyed = star.companion("fact_billing", "fact_admissions")
     with_billing = [role for role in granted if role.billing]
     if not with_billing:
         tables["fact_billing"] = star.tables["fact_billing"].filter(F.lit(False))
-    else:
-        billed = _any_of(with_billing, who)
-        if billed is not None:
-            keys = star.tables["dim_department"].filter(billed).select("department_key")
-            own = star.tables["fact_admissions"].join(keys, "department_key", "left_semi")
-            tables["fact_billing"] = star.tables["fact_billing"].join(
-                own.select("admission_id"), "admission_id", "left_semi"
-            )
+        if keyed is not None:
+            tables["fact_billing_keyed"] = keyed.filter(F.lit(False))
+        return star.with_tables(tables)
+    billed = _any_of(with_billing, who)
+    if billed is not None:
+        keys = star.tables["dim_department"].filter(billed).select("department_key")
+        own = star.tables["fact_admissions"].join(keys, "department_key", "left_semi")
+        tables["fact_billing"] = star.tables["fact_billing"].join(own.select("admission_id"), "admission_id", "left_semi")
+        if keyed is not None:
+            # Bills carry the department of their admission, so the two facts need not meet.
+            key = "fact_admissions__department_key"
+            tables["fact_billing_keyed"] = keyed.join(keys.withColumnRenamed("department_key", key), key, "left_semi")
+    # Where bills are shown of admissions that are not, they must not carry their keys: the companion is left out.
     return star.with_tables(tables)

@@ -19,7 +19,10 @@ from oreline.operators.stages import stage_counts
 from oreline.schemas import TABLES
 
 
-def _distinct_keys(df: DataFrame, name: str, keep: str, tie_break: Sequence[str] | None) -> DataFrame:
+def _distinct_keys(df: DataFrame, name: str, keep: str | None, tie_break: Sequence[str] | None) -> DataFrame:
+    """One row per key; ``keep`` is None where the rows have distinct keys already."""
+    if keep is None:
+        return df
     table = TABLES[name]
     return dedup(df, table.key, [table.watermark], keep, tie_break)
 
@@ -32,7 +35,7 @@ def patients(
     df: DataFrame,
     as_of: dt.date,
     run_ts: dt.datetime | None = None,
-    keep: str = "last",
+    keep: str | None = "last",
     tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     unique = _distinct_keys(df, "patients", keep, tie_break)
@@ -56,7 +59,7 @@ def patients(
     return stamp_silver(cleaned, run_ts, valid=True)
 
 
-def marked_admissions(df: DataFrame, keep: str = "last", tie_break: Sequence[str] | None = None) -> DataFrame:
+def marked_admissions(df: DataFrame, keep: str | None = "last", tie_break: Sequence[str] | None = None) -> DataFrame:
     """Unique admissions with parsed dates and the name of the rule each one breaks, if any."""
     parsed = _distinct_keys(df, "admissions", keep, tie_break).withColumns(
         {
@@ -103,11 +106,18 @@ def valid_admissions(marked: DataFrame, as_of: dt.date, run_ts: dt.datetime | No
     return stamp_silver(derived, run_ts, valid=True)
 
 
+def recounted_stays(valid: DataFrame, as_of: dt.date, run_ts: dt.datetime | None = None) -> DataFrame:
+    """Rows of the silver table with their stays counted to another date."""
+    days = dates.stay_days(F.col("admission_date"), F.col("discharge_date"), as_of)
+    counted = valid.withColumn("length_of_stay", days).withColumn("los_category", rules.stay_category(F.col("length_of_stay")))
+    return stamp_silver(counted, run_ts, valid=True)
+
+
 def admissions(
     df: DataFrame,
     as_of: dt.date,
     run_ts: dt.datetime | None = None,
-    keep: str = "last",
+    keep: str | None = "last",
     tie_break: Sequence[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantined)."""
@@ -118,7 +128,7 @@ def admissions(
 def billing(
     df: DataFrame,
     run_ts: dt.datetime | None = None,
-    keep: str = "last",
+    keep: str | None = "last",
     tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     components = reduce(lambda a, b: a + b, [F.col(c) for c in rules.COMPONENT_SHARE])
@@ -150,7 +160,7 @@ def billing(
 def bed_occupancy(
     df: DataFrame,
     run_ts: dt.datetime | None = None,
-    keep: str = "last",
+    keep: str | None = "last",
     tie_break: Sequence[str] | None = None,
 ) -> DataFrame:
     """A snapshot that is read again, by overlap or a second full load, counts once."""

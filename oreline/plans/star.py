@@ -7,6 +7,8 @@ into frames that can be computed together, reduced, stacked, and combined:
 * It first reduces the fact to the foreign keys and columns the query needs, with partial
   aggregation in the map tasks. Dimensions and parent facts are joined to these reduced rows, so a
   hot patient or admission crosses the network as one row per map task.
+* Bills are also stored with the keys of their admission. A query that these columns cover groups this companion by the keys of the
+  star and joins no admission; others go by the relationship.
 * No join carries a broadcast hint. Spark broadcasts sides whose measured size is below its
   threshold and otherwise sorts and splits skewed keys at run time.
 * A filter inside a measure replaces the context on its own column. When the query groups by that
@@ -27,6 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreline.plans import timeintel
+from oreline.plans.gold import month_of as gold_month
+from oreline.plans.gold import patient_bits
+from oreline.sources.raw import stored
 
 DATE = "dim_date"
 DEPARTMENT_NAME = "dim_department.department_name"
@@ -46,6 +51,11 @@ TABLE_NAMES = [
     "dim_date", "dim_patient", "dim_department", "dim_doctor",
     "fact_admissions", "fact_billing", "fact_bed_occupancy",
 ]
+# A fact that is stored with columns of its parent, named parent__column, and whether it has found it.
+COMPANIONS = {("fact_billing", "fact_admissions"): "fact_billing_keyed"}
+FOUND = "found"
+# Numbers of the patients and, by month and department, bitmaps over them.
+PATIENT_BITS = ("patient_numbers", "patient_months")
 # The column a fact is stored by, equal to the year of its date.
 YEAR_PARTITION = {"fact_admissions": "admission_year", "fact_bed_occupancy": "snapshot_year"}
 
@@ -153,10 +163,24 @@ class Star:
 
     @classmethod
     def read(cls, spark: SparkSession, folder: str, last_date: str = "data") -> Star:
-        return cls({n: spark.read.parquet(f"{folder}/{n}") for n in TABLE_NAMES}, last_date)
+        tables = {n: spark.read.parquet(f"{folder}/{n}") for n in TABLE_NAMES}
+        tables |= {n: spark.read.parquet(f"{folder}/{n}") for n in COMPANIONS.values() if stored(spark, f"{folder}/{n}")}
+        return cls(tables, last_date)
 
     def with_tables(self, tables: Mapping[str, DataFrame]) -> Star:
-        return Star(ChainMap(dict(tables), self.tables), self.last_date)
+        """The star with some tables replaced. A companion of a replaced table no longer holds, unless it is replaced too."""
+        stale = {name: None for pair, name in COMPANIONS.items() if any(t in tables for t in pair)}
+        if "fact_admissions" in tables:
+            stale |= dict.fromkeys(PATIENT_BITS)
+        return Star(ChainMap(stale | dict(tables), self.tables), self.last_date)
+
+    def companion(self, table: str, parent: str) -> DataFrame | None:
+        """The stored form of a fact that carries columns of its parent, if there is one."""
+        name = COMPANIONS.get((table, parent))
+        try:
+            return self.tables[name] if name else None
+        except KeyError:
+            return None
 
     # ---- queries ---------------------------------------------------------------------------
 
@@ -207,8 +231,14 @@ class Star:
         """The query at every prefix of ``by`` down to the grand total.
 
         Every level is evaluated in its own context, never summed from the finer one. ``level``
-        is the number of grouping columns in use.
+        is the number of grouping columns in use. Where the measures allow it, all levels come from one pass over each fact.
         """
+        by, where = list(by), dict(where or {})
+        aggs: dict[Agg, str] = {}
+        for measure in measures.values():
+            measure.expr(lambda agg: (aggs.setdefault(agg, f"_a{len(aggs)}"), F.lit(None))[1])
+        if by and not any(m.fills for m in measures.values()) and all(self._expandable(a, by, where) for a in aggs):
+            return self._expanded(measures, aggs, by, where)
         levels = []
         for depth in range(len(by), -1, -1):
             part = self.query(measures, by[:depth], where)
@@ -224,6 +254,44 @@ class Star:
 
         return reduce(DataFrame.unionByName, [widen(p) for p in levels])
 
+    def _expandable(self, agg: Agg, by: Sequence[str], where: Mapping[str, Any]) -> bool:
+        """Whether the finest groups hold all that the levels above need: sums and counts, and the values of a distinct count."""
+        plain = agg.kind in ("rows", "values", "sum", "distinct") and agg.period is None
+        return plain and len(self._frame_key(agg, by, where).group) == len(by)
+
+    def _expanded(self, measures: Mapping[str, Measure], aggs: Mapping[Agg, str], by: list[str], where: dict[str, Any]) -> DataFrame:
+        """All levels at once: a fact is reduced to the finest groups, which Spark expands to the levels; distinct values travel with their group."""
+        flat = [_flat(c) for c in by]
+        members: dict[_FrameKey, dict[Agg, str]] = {}
+        for agg, name in aggs.items():
+            members.setdefault(self._frame_key(agg, by, where), {})[agg] = name
+        level = (F.lit(len(by)) - F.bit_count(F.grouping_id())).cast("int").alias("_level")
+        stack = []
+        for key, group in members.items():
+            distinct = key.alone is not None and key.alone.kind == "distinct"
+            finest = self._reduce(key.table, group, by, dict(key.where), count=not distinct)
+            if distinct:
+                blank = F.coalesce(F.max(F.col("_value").isNull().cast("int")), F.lit(0))
+                values = [F.nullif(F.count_distinct("_value") + blank, F.lit(0)).alias(group[key.alone])]
+            else:
+                values = [F.sum(n).alias(n) for n in group.values()]
+            stack.append(finest.rollup(*flat).agg(level, *values))
+        # The grand total is a row also where there is nothing to count.
+        total = self.tables[DATE].sparkSession.range(1).select(F.lit(0).alias("_level"))
+        together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*stack, total])
+        combined = together.groupBy(*flat, "_level").agg(*[F.max(n).alias(n) for n in aggs.values()])
+
+        def value(agg: Agg) -> Column:
+            column = F.col(aggs[agg])
+            return column.cast("double") if self._is_decimal(agg) else column
+
+        result = combined.select(
+            *[F.col(f).alias(_column(c)) for c, f in zip(by, flat)], *[m.expr(value).alias(n) for n, m in measures.items()],
+            F.col("_level").alias("level"),
+        )
+        some = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in measures])
+        return result.filter(some | (F.col("level") == 0))
+
     # ---- evaluation ------------------------------------------------------------------------
 
     def _is_decimal(self, agg: Agg) -> bool:
@@ -352,6 +420,9 @@ class Star:
         for.
         """
         others, daily_where, day = self._daily_context(key)
+        merged = self._merged_patients(key, aggs, others, daily_where)
+        if merged is not None:
+            return merged
         base: dict[Agg, str] = {}
         for agg in aggs:
             base.setdefault(replace(agg, period=None), f"_b{len(base)}")
@@ -375,6 +446,53 @@ class Star:
         ]
         return spread.groupBy(*flat).agg(*sums)
 
+    def _merged_patients(
+        self, key: _FrameKey, aggs: Mapping[Agg, str], others: Sequence[str], where: Mapping[str, Any]
+    ) -> DataFrame | None:
+        """Distinct patients over a calendar period by merging bitmaps, exact; None where the stored ones do not have the columns.
+
+        Whole months of a period come from the stored bitmaps of the months. Only its other days are read from the fact and made into
+        bits. A patient of many days or months is one bit of each bitmap, and is spread to no day.
+        """
+        agg = key.alone
+        if agg is None or (agg.table, agg.kind, agg.column, agg.only) != ("fact_admissions", "distinct", "patient_id", None):
+            return None
+        if any(_table(c) != "dim_department" for c in [*others, *where]):
+            return None
+        try:
+            numbers, months = (self.tables[n] for n in PATIENT_BITS)
+        except KeyError:
+            return None
+        if numbers is None or months is None:
+            return None
+        month = gold_month(F.col("date_key"))
+        dated = [_flat(c) for c in key.group if _table(c) == DATE]
+        flat, apart = [_flat(c) for c in key.group], [_flat(c) for c in others]
+        bridge = self._bridge(key, agg.period or "").withColumn("month", month)
+        sizes = self.tables[DATE].groupBy(month.alias("month")).agg(F.count(F.lit(1)).alias("_days"))
+        whole = bridge.groupBy(*dated, "month").agg(F.count(F.lit(1)).alias("_n")).join(sizes, "month").where("_n = _days").select(*dated, "month")
+        named = [F.col(c).alias(f"_w{c}") for c in [*dated, "month"]]
+        covered = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_w{c}")) for c in [*dated, "month"]])
+        edges = bridge.join(whole.select(*named), covered, "left_anti").drop("month")
+
+        (fk, dim, dim_key) = _first_hop("fact_admissions", "dim_department")
+        needed = list(dict.fromkeys([*others, *where]))
+        by_month = months.withColumnRenamed(fk, f"_fk_{fk}")
+        if needed:
+            by_month = self._join_dim(by_month, dim, dim_key, fk, needed, where)
+        by_month = by_month.groupBy(*apart, "month", "bucket").agg(F.bitmap_or_agg("patients").alias("patients"))
+        parts = [by_month.join(whole, "month").select(*flat, "bucket", "patients")]
+
+        date_fk = _first_hop("fact_admissions", DATE)[0]
+        days = edges.select(F.col("date_key").alias(date_fk)).distinct()
+        some = self.with_tables({"fact_admissions": self.tables["fact_admissions"].join(days, date_fk, "left_semi")})
+        day = _date_column("fact_admissions")
+        daily = some._reduce("fact_admissions", {replace(agg, period=None): "_b0"}, [*others, day], where, count=False)
+        spread = daily.withColumnRenamed(_flat(day), "date_key").join(edges, "date_key").select(*flat, F.col("_value").alias("patient_id")).distinct()
+        parts.append(patient_bits(spread, numbers, flat))
+        bits = parts[0].unionByName(parts[1]).groupBy(*flat, "bucket").agg(F.bitmap_or_agg("patients").alias("patients"))
+        return bits.groupBy(*flat).agg(F.nullif(F.sum(F.bitmap_count("patients")), F.lit(0)).alias(aggs[agg]))
+
     def _daily_context(self, key: _FrameKey) -> tuple[list[str], dict[str, Any], str]:
         """The grouping columns and filters that are not dates, and the date key to group by."""
         others = [c for c in key.group if _table(c) != DATE]
@@ -432,7 +550,11 @@ class Star:
         names = ["_value"] if distinct is not None else list(aggs.values())
         flat_by = [_flat(c) for c in by]
         hops = self._hops(table, [*by, *where])
-        df = self._first_reduction(table, aggs, by, where, hops, distinct)
+        covered = self._covered(table, aggs, by, where, hops)
+        if covered is not None:
+            df, hops = covered
+        else:
+            df = self._first_reduction(table, aggs, by, where, hops, distinct)
         for (fk, nxt, key), needed in hops:
             if not nxt.startswith("fact_"):
                 df = self._join_dim(df, nxt, key, fk, needed, where)
@@ -445,6 +567,39 @@ class Star:
             return self._count_distinct(df, flat_by, aggs[distinct]) if count else df.select(*flat_by, *names).distinct()
         return self._regroup(df, flat_by, names, None) if hops else df
 
+    def _covered(
+        self, table: str, aggs: Mapping[Agg, str], by: Sequence[str], where: Mapping[str, Any],
+        hops: Sequence[tuple[tuple[str, str, str], list[str]]],
+    ) -> tuple[DataFrame, list[tuple[tuple[str, str, str], list[str]]]] | None:
+        """The first reduction over the companion and the hops that are left, if it has all columns that the query needs."""
+        parents = [(hop, needed) for hop, needed in hops if hop[1].startswith("fact_")]
+        if len(parents) != 1:
+            return None
+        (_, parent, _), needed = parents[0]
+        keyed = self.companion(table, parent)
+        if keyed is None:
+            return None
+        deeper = self._hops(parent, needed)
+        others = [(hop, columns) for hop, columns in hops if hop[1] != parent]
+        # Through its parent the companion reaches a dimension by the parent's key.
+        keys = {f"_fk_{fk}": fk for (fk, _, _), _ in others} | {f"_fk_{fk}": _flat(f"{parent}.{fk}") for (fk, _, _), _ in deeper}
+        stored = lambda c: _column(c) if _table(c) == table else _flat(c)
+        own = {c: stored(c) for c in dict.fromkeys([*by, *where]) if _table(c) in (table, parent)}
+        read = [a.column for a in aggs if a.column] + [_column(a.only[0]) for a in aggs if a.only and _table(a.only[0]) == table]
+        if len(keys) != len(others) + len(deeper) or not {*keys.values(), *own.values(), *read} <= set(keyed.columns):
+            return None
+        for column, wanted in where.items():
+            if column in own:
+                keyed = keyed.filter(condition(F.col(own[column]), wanted))
+        on_dates = {c: where[c] for c in needed if c in where and _table(c) == DATE}
+        if on_dates or any(_table(c) == parent for c in where):
+            # A filter on the parent shows only rows that have one.
+            keyed = keyed.filter(F.col(_flat(f"{parent}.{FOUND}")))
+        keyed = self._limit_dates(keyed, parent, on_dates, lambda c: _flat(f"{parent}.{c}"))
+        distinct = next((a for a in aggs if a.kind == "distinct"), None)
+        groups = [F.col(own[c]).alias(_flat(c)) for c in by if c in own] + [F.col(c).alias(k) for k, c in keys.items()]
+        return self._grouped(keyed, groups, aggs, distinct), [*others, *deeper]
+
     @staticmethod
     def _hops(table: str, columns: Sequence[str]) -> list[tuple[tuple[str, str, str], list[str]]]:
         """First hops from ``table`` to the tables of the columns, with the columns behind each."""
@@ -466,25 +621,30 @@ class Star:
         df = self._limit_dates(df, table, where)
         own = [F.col(_column(c)).alias(_flat(c)) for c in by if _table(c) == table]
         foreign = [F.col(fk).alias(f"_fk_{fk}") for (fk, _, _), _ in hops]
+        return self._grouped(df, [*own, *foreign], aggs, distinct)
+
+    def _grouped(self, df: DataFrame, groups: list[Column], aggs: Mapping[Agg, str], distinct: Agg | None) -> DataFrame:
         if distinct is not None:
-            return df.select(*own, *foreign, F.col(distinct.column).alias("_value")).distinct()
+            return df.select(*groups, F.col(distinct.column).alias("_value")).distinct()
         if not aggs:
-            return df.select(*own, *foreign).distinct()
-        return df.groupBy(*own, *foreign).agg(*[self._base(a).alias(n) for a, n in aggs.items()])
+            return df.select(*groups).distinct()
+        return df.groupBy(*groups).agg(*[self._base(a).alias(n) for a, n in aggs.items()])
 
-    def _limit_dates(self, df: DataFrame, table: str, where: Mapping[str, Any]) -> DataFrame:
-        """Apply date filters before the reduction: by stored year where possible, then by date key."""
+    def _limit_dates(
+        self, df: DataFrame, table: str, where: Mapping[str, Any], stored: Callable[[str], str] = str
+    ) -> DataFrame:
+        """Apply date filters before the reduction: by stored year where possible, then by date key. ``stored`` names the table's columns in ``df``."""
         on_dates = {c: w for c, w in where.items() if _table(c) == DATE}
         if not on_dates or DATE not in _reached_from(table) or _date_fact(table) != table:
             return df
         year = YEAR_PARTITION.get(table)
         if f"{DATE}.year" in on_dates and year is not None:
-            df = df.filter(condition(F.col(year), on_dates[f"{DATE}.year"]))
+            df = df.filter(condition(F.col(stored(year)), on_dates[f"{DATE}.year"]))
         dates = self.tables[DATE]
         for column, wanted in on_dates.items():
             dates = dates.filter(condition(F.col(_column(column)), wanted))
         fk, _, key = _first_hop(table, DATE)
-        return df.join(dates.select(F.col(key).alias(fk)), fk, "left_semi")
+        return df.join(dates.select(F.col(key).alias(stored(fk))), stored(fk), "left_semi")
 
     @staticmethod
     def _base(agg: Agg) -> Column:

@@ -15,7 +15,6 @@ from oreline.schemas import TABLES
 from oreline.sources.raw import spread
 
 AS_OF = dt.date(2002, 1, 1)
-CALENDAR = (dt.date(1995, 1, 1), dt.date(2024, 12, 31))
 
 # Fixed values of the derived tables.
 DEPARTMENTS = [

@@ -4,26 +4,28 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from oreline.sources.raw import stored
 
 MARK_SCHEMA = "table string, mark string, run_id string, written_at timestamp"
 RUN_SCHEMA = "logged_at timestamp, pipeline string, status string, run_id string"
 FAILURE_SCHEMA = "table string, stage string, error string, logged_at timestamp, run_id string"
 
 
-def append(spark: SparkSession, path: str, row: tuple, schema: str) -> None:
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(path)
+def append(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
+    """Add some records. They go to Spark as literals, which needs no Python worker."""
+    fields = T.StructType.fromDDL(schema).fields
+    one = lambda row: F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, fields)])
+    spark.range(1, numPartitions=1).select(F.inline(F.array(*map(one, rows)))).write.mode("append").parquet(path)
 
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
+    if stored(spark, path):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def read_marks(spark: SparkSession, path: str, without_run: str | None = None) -> DataFrame:
@@ -45,17 +47,17 @@ def advance_mark(
 ) -> None:
     """Record a new mark; call it only after the data of the run is written."""
     if mark is not None:
-        append(spark, path, (table, mark, run_id, now), MARK_SCHEMA)
+        append(spark, path, [(table, mark, run_id, now)], MARK_SCHEMA)
 
 
 def log_run(spark: SparkSession, path: str, pipeline: str, status: str, run_id: str, now: dt.datetime) -> None:
-    append(spark, path, (now, pipeline, status, run_id), RUN_SCHEMA)
+    append(spark, path, [(now, pipeline, status, run_id)], RUN_SCHEMA)
 
 
 def log_failure(
     spark: SparkSession, path: str, table: str, stage: str, error: BaseException, run_id: str, now: dt.datetime
 ) -> None:
-    append(spark, path, (table, stage, f"{type(error).__name__}: {error}", now, run_id), FAILURE_SCHEMA)
+    append(spark, path, [(table, stage, f"{type(error).__name__}: {error}", now, run_id)], FAILURE_SCHEMA)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

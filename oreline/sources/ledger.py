@@ -43,6 +43,11 @@ class Load:
     def done(self) -> bool:
         return self.rows is not None
 
+    @property
+    def until(self) -> str | None:
+        """The last mark of a replay. A finished load that has seen no mark has none to read either."""
+        return (self.end_mark or "0001-01-01") if self.done else None
+
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     return control.read(spark, path, SCHEMA)
@@ -79,7 +84,7 @@ def begin(
     start = newest["mark"] if load_type == "incremental" else None
     load = Load(table, (newest["seq"] or 0) + 1, run_id, load_type, start, overlap)
     row = (table, load.seq, run_id, STARTED, load_type, start, None, overlap, None, None, now)
-    control.append(spark, path, row, SCHEMA)
+    control.append(spark, path, [row], SCHEMA)
     return load
 
 
@@ -87,4 +92,4 @@ def finish(spark: SparkSession, path: str, load: Load, end_mark: str | None, row
     """Record the end of a load; call it only after its data is stored. A load that read nothing new ends where it started."""
     end = load.start_mark if end_mark is None else end_mark
     row = (load.table, load.seq, load.run_id, DONE, load.load_type, load.start_mark, end, load.overlap, rows, without_mark, now)
-    control.append(spark, path, row, SCHEMA)
+    control.append(spark, path, [row], SCHEMA)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,14 +105,9 @@ def scan_layer(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
 
 
 def stored(spark: SparkSession, path: str) -> bool:
-    """Whether there is anything below a path; only its listing is read."""
-    try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+    """Whether there is anything at a path, in whatever store it is; no job is run."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> None:
@@ -17,6 +17,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
         df.hint("rebalance", partition_by).write.mode(mode).partitionBy(partition_by).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a directory of a table, in whatever store it is."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(conf).delete(place, True)
+
+
 def append_table(df: DataFrame, name: str, fmt: str = "parquet") -> None:
     """Append to a managed table by column name, adding columns the table does not have yet."""
     spark = df.sparkSession

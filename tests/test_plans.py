@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import queries
 from oreline import session
+from oreline.operators import profile
 from oreline.plans import gold
 from oreline.plans.lake import Lake
 from oreline.plans.measures import pick
@@ -41,17 +42,42 @@ def test_measures_force_no_broadcast(spark, no_broadcast, name):
 
 
 def test_bills_are_reduced_before_they_meet_admissions(spark, no_broadcast):
-    plan = plan_of(Lake(spark, FOLDER).star().query(pick("total_revenue"), ["dim_department.department_name"]))
+    star = Lake(spark, FOLDER).star().with_tables({"fact_billing_keyed": None})
+    plan = plan_of(star.query(pick("total_revenue"), ["dim_department.department_name"]))
     join = plan.index("SortMergeJoin [_fk_admission_id")
     assert "partial_sum(total_amount" in plan[join:]
 
 
+@pytest.mark.parametrize("name", [
+    "m_revenue_by_department", "m_revenue_by_month", "m_filtered_type", "rpt_trends", "ti_ytd", "ti_prior_year", "ti_mom", "ti_rolling_12m", "rls_dept_manager",
+    "rls_multi_role",
+])
+def test_bills_and_admissions_do_not_meet(spark, no_broadcast, name):
+    """Bills carry the keys of their admission."""
+    plan = plan_of(queries()[name](spark, FOLDER))
+    assert "admission_id" not in plan and "fact_admissions__" in plan
+
+
 def test_all_periods_share_one_scan_of_the_bills(spark):
     measures = pick("total_revenue", "ytd_revenue", "py_revenue", "mom_revenue_change_pct", "revenue_rolling_12m")
     plan = plan_of(Lake(spark, FOLDER).star().query(measures, ["dim_date.year_month"]))
     assert plan.count("total_amount#") and sum("total_amount" in line for line in plan.splitlines() if "FileScan" in line) == 1
 
 
+def test_all_levels_share_one_scan_of_each_reduction(spark):
+    """Plain measures read the fact once for all levels, distinct counts once."""
+    plan = plan_of(queries()["m_totals_rollup"](spark, FOLDER))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert sum("readmission_flag" in line for line in scans) == 1 and sum("patient_id" in line for line in scans) == 1
+    assert "Expand" in plan
+
+
+def test_a_profile_is_one_scan_and_one_shuffle_of_rows(spark):
+    df = spark.read.parquet(f"{FOLDER}/orders.parquet")
+    plan = plan_of(profile.profile(df, df.columns, "orders"))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_only_needed_columns_are_read(spark):
     plan = plan_of(Lake(spark, FOLDER).star().query(pick("total_admissions"), ["fact_admissions.los_category"]))
     (scan,) = [line for line in plan.splitlines() if "FileScan" in line]
@@ -67,7 +93,7 @@ def test_a_year_filter_prunes_partitions(spark):
 
 def test_doctors_are_numbered_without_a_global_sort(spark):
     silver = Lake(spark, FOLDER).table("silver_admissions")
-    plan = plan_of(gold.dim_doctor(silver))
+    plan = plan_of(gold.dim_doctor(gold.doctor_names(silver)))
     # The only single task adds up at most 256 range sizes.
     windows = [line for line in plan.splitlines() if "Window [" in line]
     assert len(windows) == 2 and all("_range" in line for line in windows)

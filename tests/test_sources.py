@@ -210,6 +210,14 @@ def test_a_load_starts_at_the_finished_loads_and_keeps_its_start(spark, tmp_path
     assert got[("t", "r1")] == (2, 1) and got[("t", "r4")] == (None, None) and len(got) == 5
 
 
+def test_a_load_of_nothing_is_replayed_as_nothing(spark, tmp_path):
+    path = str(tmp_path / "loads")
+    ledger.finish(spark, path, ledger.begin(spark, path, "t", "r1", "incremental", NOW), None, 0, 0, NOW)
+    until = ledger.begin(spark, path, "t", "r1", "incremental", NOW).until
+    df = spark.createDataFrame([("a", "2024-01-01")], "admission_id string, updated_at string")
+    assert raw.load(df, TABLES["admissions"], "incremental", None, until=until).isEmpty()
+
+
 def test_replay_ends_at_its_mark(spark):
     df = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-03"), ("d", None)], "admission_id string, updated_at string")
     ids = lambda *a, **k: sorted(r[0] for r in raw.load(df, TABLES["admissions"], *a, **k).select("admission_id").collect())

@@ -519,6 +519,16 @@ def test_rollup_recomputes_each_level(star):
     assert by_year[2024] == len({a["patient_id"] for a in ADM if a["year"] == 2024})
 
 
+@pytest.mark.parametrize("by", [["dim_date.year", "dim_department.department_name"], ["fact_admissions.admission_type"], ["dim_patient.gender", "dim_doctor.doctor_name"]])
+@pytest.mark.parametrize("where", [{}, {"dim_date.year": 2024}, {"dim_department.department_name": "nowhere"}])
+def test_rollup_in_one_pass_equals_a_query_per_level(star, monkeypatch, by, where):
+    measures = pick("total_admissions", "avg_length_of_stay", "readmission_rate_pct", "total_unique_patients")
+    got = star.rollup(measures, by, where)
+    once = sorted(map(str, got.collect()))
+    monkeypatch.setattr(Star, "_expandable", lambda *a: False)
+    assert once == sorted(map(str, star.rollup(measures, by, where).select(*got.columns).collect()))
+
+
 def test_names_must_be_unique(star):
     with pytest.raises(ValueError):
         star.query(pick("total_revenue"), ["dim_patient.city", "fact_billing.city"])
