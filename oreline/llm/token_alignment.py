@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from oreline.llm.shared import ship, store
 
 #: Bytes of text in a chunk, or one longer document.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Distinct parts that a worker keeps before it starts afresh, and how many characters of new ones are tokenized at once.
-PARTS, BATCH = 300_000, 1 << 14
+PARTS, BATCH = 250_000, 1 << 14
 SPACE = "▁"
 #: A single space between characters that are no white space.
 _BORDER = re.compile(r"(?<=\S) (?=\S)")

@@ -25,6 +25,8 @@ from oreline.llm.shared import ship, store
 #: Bounds of what the model learns from and of its size.
 SAMPLE = 20_000
 FEATURES = 2048
+#: Texts that a task works on at once.
+ROWS = 256
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -46,16 +48,22 @@ def _counts(text: str | None) -> Counter:
     return own
 
 
-def _matrix(counts: list[Counter], index: dict[str, int]):
-    """Sparse rows: row, column and value of each entry."""
+def _matrix(texts: list[str | None], index: dict[str, int]):
+    """Sparse rows: row, column and value of each entry. The words of one text are held at a time."""
     row, column, value = [], [], []
-    for k, own in enumerate(counts):
-        for word in own.keys() & index.keys():
-            row.append(k)
-            column.append(index[word])
-            value.append(1 + np.log(own[word]))
-    order = np.lexsort((column, row)) if row else np.zeros(0, np.int64)
-    return np.array(row, dtype=np.int64)[order], np.array(column, dtype=np.int64)[order], np.array(value)[order]
+    for k, text in enumerate(texts):
+        found = sorted((index[word], n) for word, n in _counts(text).items() if word in index)
+        row.extend([k] * len(found))
+        column.extend(c for c, _ in found)
+        value.extend(n for _, n in found)
+    return np.array(row, dtype=np.int64), np.array(column, dtype=np.int64), 1 + np.log(np.array(value, dtype=float))
+
+
+def _slices(batches):
+    """Batches of at most ``ROWS`` rows, which bounds what is made of their texts at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, ROWS):
+            yield batch.slice(k, ROWS)
 
 
 def _sigmoid(x):
@@ -110,7 +118,7 @@ def _ordered(free: np.ndarray) -> np.ndarray:
 
 def severity(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Expected grade and the probability of any grade above 0."""
-    row, column, value = _matrix([_counts(t) for t in texts], {w: k for k, w in enumerate(model.words)})
+    row, column, value = _matrix(texts, {w: k for k, w in enumerate(model.words)})
     z = np.bincount(row, value * model.weights[column], minlength=len(texts))
     if not len(model.thresholds):
         return np.zeros(len(texts)), np.zeros(len(texts))
@@ -139,7 +147,7 @@ def _telling(texts: DataFrame, features: int) -> list[str]:
     """
 
     def read(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             held = batch.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [
@@ -184,7 +192,7 @@ def fit(docs: DataFrame, labels: DataFrame | None = None, text: str = "text", gr
     index = spark.sparkContext.broadcast({w: k for k, w in enumerate(words)})
 
     def sparse(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for own in (_counts(t) for t in batch.column("text").to_pylist()):
                 found = sorted((index.value[w], n) for w, n in own.items() if w in index.value)
@@ -222,7 +230,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     shared = spark.sparkContext.broadcast(model)
 
     def apply(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             expected, toxic = severity(batch.column("text").to_pylist(), shared.value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(expected, pa.float64()), pa.array(toxic, pa.float64())],
