@@ -72,16 +72,14 @@ class Run:
         not know is not overwritten.
         """
         table, ledger_path, target = TABLES[name], self.path("control", "loads"), self.path("bronze", name)
-        known = ledger.find(self.spark, ledger_path, name, self.run_id)
-        if known is None and raw.stored(self.spark, f"{target}/load={self.run_id}"):
-            raise ledger.ReplayError(f"{target} holds a load {self.run_id} that the ledger does not know")
-        load = ledger.begin(self.spark, ledger_path, name, self.run_id, self.load_type, self.run_ts, self.overlap)
-        stored, counts = bronze.ingest(
+        stored = raw.stored(self.spark, f"{target}/load={self.run_id}")
+        load = ledger.begin(self.spark, ledger_path, name, self.run_id, self.load_type, self.run_ts, self.overlap, stored)
+        written, counts = bronze.ingest(
             self.spark, f"{self.landing}/{table.file_name}", target, table, self.run_id, self.run_ts, load.load_type, load.start_mark,
             load.overlap, load.until, self._unmarked(name, load), load.rows,
         )
         report_path = self.path("reports", f"bronze/load={self.run_id}/{name}")
-        sinks.write_json(bronze.report(stored, table), report_path)
+        sinks.write_json(bronze.report(written, table), report_path)
         control.advance_mark(self.spark, self.path("control", "marks"), name, counts.mark, self.run_id, self.run_ts)
         ledger.finish(self.spark, ledger_path, load, counts.mark, counts.rows, counts.without_mark, self.run_ts)
         return self.spark.read.json(report_path)

@@ -71,18 +71,25 @@ def find(spark: SparkSession, path: str, table: str, run_id: str) -> Load | None
 
 def begin(
     spark: SparkSession, path: str, table: str, run_id: str, load_type: str, now: dt.datetime, overlap: str | None = None,
+    stored: bool = False,
 ) -> Load:
-    """The load of a run: as it was begun before, or a new one that starts at the highest mark of the finished loads."""
-    known = find(spark, path, table, run_id)
-    if known is not None:
+    """The load of a run: as it was begun before, or a new one that starts at the highest mark of the finished loads.
+
+    ``stored`` says that data of the run is there already; without a record of it, it must not be overwritten.
+    """
+    rows = loads(spark, path).where(F.col("table") == table)
+    at = F.when(F.col("rows").isNotNull(), F.try_to_timestamp(F.col("end_mark")))
+    mine = F.max(F.when(F.col("run_id") == run_id, F.struct("table", "seq", "run_id", "load_type", "start_mark", "overlap", "end_mark", "rows")))
+    seen = rows.agg(F.max("seq").alias("seq"), F.max_by("end_mark", at).alias("mark"), mine.alias("mine")).first()
+    if seen["mine"] is not None:
+        known = Load(**seen["mine"].asDict())
         if known.load_type != load_type:
             raise ReplayError(f"run {run_id} has loaded {table} as {known.load_type}, not {load_type}")
         return known
-    before = loads(spark, path).where(F.col("table") == table)
-    at = F.when(F.col("rows").isNotNull(), F.try_to_timestamp(F.col("end_mark")))
-    newest = before.agg(F.max("seq").alias("seq"), F.max_by("end_mark", at).alias("mark")).first()
-    start = newest["mark"] if load_type == "incremental" else None
-    load = Load(table, (newest["seq"] or 0) + 1, run_id, load_type, start, overlap)
+    if stored:
+        raise ReplayError(f"there is a load {run_id} of {table} that the ledger does not know")
+    start = seen["mark"] if load_type == "incremental" else None
+    load = Load(table, (seen["seq"] or 0) + 1, run_id, load_type, start, overlap)
     row = (table, load.seq, run_id, STARTED, load_type, start, None, overlap, None, None, now)
     control.append(spark, path, [row], SCHEMA)
     return load

@@ -3,15 +3,16 @@
 import calendar as cal
 import datetime as dt
 import random
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from oreline.plans import gold, reports
-from oreline.plans.measures import MEASURES, pick
+from oreline.plans.measures import MEASURES, PEOPLE, pick
 from oreline.plans.security import secure
-from oreline.plans.star import Star
+from oreline.plans.star import Measure, Star
 
 D = dt.date
 START, END = D(2023, 1, 1), D(2025, 12, 31)
@@ -367,6 +368,8 @@ def definitions_in(c):
         "occupancy_kpi_color": lambda: color(occ, lambda x: x >= 95, lambda x: x >= 80),
         "collection_kpi_color": lambda: color(collected, lambda x: x < 70, lambda x: x < 85),
         "total_unique_patients": lambda: people,
+        "ytd_unique_patients": lambda: distinct(c.rows("A", dates=c.to_date(12)), "patient_id"),
+        "unique_patients_rolling_12m": lambda: distinct(c.rows("A", dates=c.rolling("A", 12)), "patient_id"),
         "avg_patient_age": lambda: mean(c.rows("P"), "age"),
         "female_patient_pct": lambda: pct(
             distinct(c.rows("A", {"gender"}, lambda r: r["gender"] == "Female"), "patient_id"), people
@@ -529,6 +532,26 @@ def test_rollup_in_one_pass_equals_a_query_per_level(star, monkeypatch, by, wher
     assert once == sorted(map(str, star.rollup(measures, by, where).select(*got.columns).collect()))
 
 
+@pytest.mark.parametrize("last_date", ["data", "calendar"])
+@pytest.mark.parametrize(
+    ("by", "where"),
+    [([], {}), (["dim_date.year_month"], {}), (["dim_date.year", "dim_department.department_name"], {}), (["dim_date.full_date"], {"dim_date.year": 2024}),
+     (["dim_date.year_quarter"], {"dim_department.department_name": ["Icu", "Cardiology"]})],
+)
+def test_merged_patients_equal_spread_ones(star, by, where, last_date):
+    """Whole months by bitmaps and other days by the fact, for every calendar function."""
+    fact = star.tables["fact_admissions"]
+    numbers = gold.patient_numbers(fact.select("patient_id").distinct())
+    months = gold.patient_months(fact, numbers)
+    plain = Star(star.tables, last_date)
+    merged = plain.with_tables({"patient_numbers": numbers, "patient_months": months})
+    periods = ["ytd", "qtd", "prior_year", "previous_month", "rolling_3", "rolling_12"]
+    measures = {p: Measure(lambda v, p=p: v(replace(PEOPLE, period=p))) for p in periods}
+    got = merged.query(measures, by, where)
+    assert "bitmap_or_agg" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, plain.query(measures, by, where).collect()))
+
+
 def test_names_must_be_unique(star):
     with pytest.raises(ValueError):
         star.query(pick("total_revenue"), ["dim_patient.city", "fact_billing.city"])
