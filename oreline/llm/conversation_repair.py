@@ -196,8 +196,8 @@ def repair(rows: DataFrame, turns: bool = True, held: int = HELD, absent: str |
     Returns one row per conversation with a verdict (gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256) and, with ``turns``,
     one row without a verdict per turn of the repaired conversation: place (from 0), edit (K, R or I), role, text.
 
-    Rows are taken by turn, nulls first; rows of one turn by role and text. A null role or text is one space. A null conv_id is one
-    conversation. ``absent`` marks rows that only name their conversation: one with no other rows has zeros, an empty audit and the hash of
+    Rows are taken by turn, nulls first; rows of one turn by role and text. A null role or text is one space; an empty role has
+    no initial and cannot be kept. A null conv_id is one conversation. ``absent`` marks rows that only name their conversation: one with no other rows has zeros, an empty audit and the hash of
     the empty string. Repeated rows are duplicates, empty texts blank. Other columns are not read. An empty table gives an empty result.
     """
     ship(rows.sparkSession)

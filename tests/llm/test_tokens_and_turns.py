@@ -155,24 +155,28 @@ def test_alignment_byte_by_byte(docs, texts, library, chunk_bytes, monkeypatch):
 # ---- conversations ---------------------------------------------------------------------------
 
 EXPRESSION = re.compile("(s?(ua)+)?")
+BEGINNING = re.compile("s?(ua)*u?")
 
 
 def cheapest(rows):
     """The least (cost, audit, repaired) over all edits of rows (role, text, must go, truncated), at most two inserts at each place."""
-    best = None
-    # Edits of each row, and what stands after it.
+    # To delete all rows is one way.
+    best = (4 * len(rows), "D" * len(rows), [])
+
     def go(k, out, cost, audit, run):
         nonlocal best
-        if best is not None and cost > best[0]:
+        initials = "".join(r[:1] for r, _ in out)
+        if cost > best[0] or not BEGINNING.fullmatch(initials):
             return
-        if k == len(rows) and EXPRESSION.fullmatch("".join(r[:1] for r, _ in out)):
-            best = min(best, (cost, audit, out)) if best is not None else (cost, audit, out)
+        if k == len(rows) and EXPRESSION.fullmatch(initials):
+            best = min(best, (cost, audit, out))
         if run < 2:
             for role in ("user", "assistant"):
                 go(k, [*out, (role, "")], cost + 3, audit + "I", run + 1)
         if k < len(rows):
             role, text, must, cut = rows[k]
-            if not must:
+            # A row with an empty role has no initial to keep.
+            if not must and role:
                 go(k + 1, [*out, (role, text)], cost + 3 * cut, audit + "K", 0)
             go(k + 1, out, cost + 4, audit + "D", 0)
             if not must:
