@@ -106,6 +106,20 @@ def test_partitioned_parquet_round_trip(spark, tmp_path):
     assert (tmp_path / "p" / "y=2023").exists()
 
 
+def test_partitioned_parquet_is_written_without_a_shuffle(spark, tmp_path):
+    df = spark.range(0, 1000, numPartitions=4).selectExpr("id as x", "cast(id % 3 as int) as y")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("partitioned_write", "partitioned write")
+    try:
+        sinks.write_parquet(df, str(tmp_path / "p"), partition_by="y")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    stages = [s for j in tracker.getJobIdsForGroup("partitioned_write") for s in tracker.getJobInfo(j).stageIds]
+    assert len(set(stages)) == 1
+    back = raw.scan_layer(spark, str(tmp_path / "p"))
+    assert sorted(tuple(r) for r in back.select("x", "y").collect()) == [(i, i % 3) for i in range(1000)]
+
+
 def test_watermarks_that_are_no_time_are_loaded_and_never_become_the_mark(spark):
     table = TABLES["admissions"]
     df = spark.createDataFrame(
