@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from oreline.operators import audit, profile
 from oreline.schemas import AUDIT_COLUMNS, CORRUPT, EVIDENCE_COLUMNS, SourceTable
-from oreline.sources import raw
+from oreline.sources import raw, sinks
 from oreline.sources.ledger import ReplayError
 
 
@@ -65,7 +65,7 @@ def ingest(
         counts = _write(audited(loaded, run_ts), staged, table)
         if counts.rows < least:
             raise ReplayError(f"load {load_id} of {table.name} had {least} rows, its source now gives {counts.rows}; the stored load stays")
-        spark.read.parquet(staged).write.mode("overwrite").parquet(path)
+        sinks.replace(spark, path, by=staged)
     return spark.read.parquet(path), counts
 
 
@@ -76,7 +76,8 @@ def _write(df: DataFrame, path: str, table: SourceTable) -> Counts:
     counted = df.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.count_if(at.isNull()).alias("without_mark"), F.max(F.when(at.isNotNull(), F.struct(at, text.alias("mark")))).alias("top"),
     )
-    counted.write.mode("overwrite").parquet(path)
+    # Half of a row is its hash, 64 hex digits; zstd packs two into a byte, snappy packs none.
+    counted.write.mode("overwrite").option("compression", "zstd").parquet(path)
     found = seen.get
     return Counts(found["rows"], found["without_mark"], found["top"]["mark"] if found["top"] else None)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,8 @@ from pyspark.sql import functions as F
 from oreline.operators import profile
 from oreline.plans import bronze
 from oreline.plans.pipeline import Run
-from oreline.schemas import TABLES
-from oreline.session import shared_folder
+from oreline.schemas import TABLES, SourceTable
+from oreline.session import freed_shuffles, shared_folder
 from oreline.sources import ledger, sinks
 from oreline.sources.binding import AS_OF, bind
 
@@ -24,46 +26,71 @@ def _folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/oreline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def write_drops(spark: SparkSession, folder: str, root: str) -> None:
-    """All tables as extracts in two drops, below ``a`` and ``b``, split by their watermark."""
-    for name, table in TABLES.items():
+def write_drops(spark: SparkSession, folder: str, root: str, names: Iterable[str] = TABLES) -> None:
+    """Tables as extracts in two drops, below ``a`` and ``b``, split by their watermark."""
+    for name in names:
+        table = TABLES[name]
         df = bind(spark, folder, name)
         early = F.col(table.watermark).cast("timestamp") <= F.lit(CUT).cast("timestamp")
         for drop, part in (("a", early), ("b", ~early)):
-            sinks.write_extract(df.where(part), f"{root}/{drop}/{table.file_name}")
+            sinks.write_extract(df.where(part), f"{root}/{drop}/{table.file_name}", compression="gzip")
 
 
-def drops(spark: SparkSession, folder: str) -> tuple[str, Run, Run]:
+def drops(spark: SparkSession, folder: str, names: Iterable[str] = TABLES) -> tuple[str, Run, Run]:
     """(place of the drops, a run that sees the first, a run that sees both)."""
     root = _folder(spark, "drops")
-    write_drops(spark, folder, root)
+    write_drops(spark, folder, root, names)
     stamp = dt.datetime.combine(AS_OF, dt.time())
     first = Run(spark, f"{root}/a", f"{root}/lake", "r1", AS_OF, stamp)
     return root, first, Run(spark, f"{root}/[ab]", f"{root}/lake", "r2", AS_OF, stamp + dt.timedelta(days=1))
 
 
+def held(stored: DataFrame, table: SourceTable) -> list[DataFrame]:
+    """What each stored load of a table holds, as parts with one row per load: rows and marks, distinct keys, distinct hashes.
+
+    Each part reduces its own column by a hash aggregate over few bytes a row. All counts in one aggregate would repeat the rows for
+    every distinct count and sort them by load, as the marks are text.
+    """
+    at = F.col(table.watermark).cast("string").alias("at")
+    marks = stored.groupBy("load", at).agg(F.count(F.lit(1)).alias("n"))
+    distinct = lambda c: stored.where(c.isNotNull()).select("load", c.alias("value")).distinct().groupBy("load")
+    return [
+        marks.groupBy("load").agg(F.sum("n").alias("rows"), F.min("at").alias("first_mark"), F.max("at").alias("last_mark")),
+        distinct(F.col(table.key)).agg(F.count(F.lit(1)).alias("keys")),
+        distinct(F.unhex("_record_hash")).agg(F.count(F.lit(1)).alias("distinct_rows")),
+    ]
+
+
 def two_loads(spark: SparkSession, folder: str) -> DataFrame:
-    """Two loads of every table, the first replayed when the source holds the rows of both: one row per table and load."""
-    root, first, second = drops(spark, folder)
-    again = Run(spark, f"{root}/[ab]", first.root, "r1", AS_OF, second.run_ts + dt.timedelta(days=1))
-    for run in (first, second, again):
-        for name in TABLES:
-            run.bronze(name)
-    parts = []
-    for name, table in TABLES.items():
-        stored = first.read("bronze", name)
-        at = F.col(table.watermark).cast("string")
-        parts.append(
-            stored.groupBy("load").agg(
-                F.count(F.lit(1)).alias("rows"), F.count_distinct(table.key).alias("keys"), F.min(at).alias("first_mark"), F.max(at).alias("last_mark"),
-                F.count_distinct("_record_hash").alias("distinct_rows"),
-            ).select(F.lit(name).alias("table"), "*")
-        )
-    held = profile.summary(parts)
+    """Two loads of every table, the first replayed when the source holds the rows of both: one row per table and load.
+
+    One table is loaded and counted after the other. Its extracts go after its last load and the shuffle files of each step with the step,
+    so that disk holds the stored loads and what one step of one table needs.
+    """
+    root, first, second = drops(spark, folder, ())
+    again = Run(spark, second.landing, first.root, "r1", AS_OF, second.run_ts + dt.timedelta(days=1))
+    counted = []
+    with freed_shuffles(spark):
+        # Large facts first, before loads of other tables lie beside their extracts.
+        for name in reversed(TABLES):
+            table = TABLES[name]
+            write_drops(spark, folder, root, [name])
+            for run in (first, second, again):
+                run.bronze(name)
+            for drop in ("a", "b"):
+                sinks.remove(spark, f"{root}/{drop}/{table.file_name}")
+            for k, part in enumerate(held(first.read("bronze", name), table)):
+                path = f"{root}/held/{name}/{k}"
+                sinks.write_parquet(part, path)
+                counted.append(spark.read.schema(part.schema).parquet(path).select(F.lit(name).alias("table"), "*"))
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counted).groupBy("table", "load").agg(
+        F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), F.min("first_mark").alias("first_mark"), F.max("last_mark").alias("last_mark"),
+        F.sum("distinct_rows").alias("distinct_rows"),
+    )
     loads = ledger.loads(spark, first.path("control", "loads")).select(
         "table", F.col("run_id").alias("load"), "seq", "start_mark", "end_mark", F.col("rows").alias("ledger_rows")
     )
-    return loads.join(held, ["table", "load"], "left").na.fill(0, ["rows", "keys", "distinct_rows"])
+    return loads.join(whole, ["table", "load"], "left").na.fill(0, ["rows", "keys", "distinct_rows"])
 
 
 def damaged_extracts(spark: SparkSession, folder: str, root: str) -> dict[str, str]:
